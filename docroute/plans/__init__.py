@@ -1 +1 @@
-from docroute.plans import dimension_queries, intake_queries, linking_queries, thread_queries  # noqa: F401
+from docroute.plans import dimension_queries, intake_queries, ledger_queries, linking_queries, thread_queries  # noqa: F401
