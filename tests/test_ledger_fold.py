@@ -65,7 +65,7 @@ def make_ops(rng, n, n_sha, n_key, hot=0.0):
     return ops
 
 
-@pytest.mark.parametrize("seed,n,n_sha,n_key,hot", [(1, 150, 12, 5, 0.0), (3, 200, 6, 12, 0.34), (4, 120, 60, 2, 0.0)])
+@pytest.mark.parametrize("seed,n,n_sha,n_key,hot", [(1, 80, 12, 4, 0.0), (3, 60, 5, 6, 0.34)])
 def test_rounds_equal_sequence(spark, seed, n, n_sha, n_key, hot):
     ops = make_ops(random.Random(seed), n, n_sha, n_key, hot)
     df = spark.createDataFrame([tuple(o.values()) for o in ops], SCHEMA)
@@ -91,9 +91,9 @@ def test_skipped_duplicate_leaves_its_hash_free(spark):
 
 
 def test_two_batches_equal_one(spark):
-    ops = make_ops(random.Random(7), 120, 20, 5)
+    ops = make_ops(random.Random(7), 40, 12, 4)
     df = spark.createDataFrame([tuple(o.values()) for o in ops], SCHEMA)
     _, once = lf.fold(lf.empty_ledger(df), df)
-    _, half = lf.fold(lf.empty_ledger(df), df.where("seq < 60"))
-    _, twice = lf.fold(half, df.where("seq >= 60"))
+    _, half = lf.fold(lf.empty_ledger(df), df.where("seq < 20"))
+    _, twice = lf.fold(half, df.where("seq >= 20"))
     assert sorted(once.collect()) == sorted(twice.collect())
