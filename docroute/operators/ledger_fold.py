@@ -59,7 +59,7 @@ def decide(ops: DataFrame, ledger: DataFrame) -> DataFrame:
             break
         ready = checkpointed(_ready(seen))
         settled.append(_outcomes(ready))
-        deltas.append(_delta(ready, state, len(deltas) + 1))
+        deltas.append(_delta(ready, len(deltas) + 1))
         todo = seen.where("seq >= first_hard").join(ready.select("seq"), "seq", "left_anti").select("seq", "sha256", "op", "key")
     return reduce(DataFrame.unionByName, settled)
 
@@ -82,7 +82,7 @@ def _look(todo: DataFrame, state: DataFrame) -> DataFrame:
     move_at = a.where(moves).groupBy(F.col("row_key").alias("key")).agg(F.min("seq").alias("move_at"))
     answers = state.groupBy(F.col("row_key").alias("key")).agg(
         F.min_by(F.struct("sha256", "ins"), F.when(F.col("st") == "live", F.col("pos"))).alias("live_row"),
-        F.min_by(F.struct("sha256", "ins"), F.when(F.col("st") == "overridden", F.col("pos"))).alias("over_row"),
+        F.min_by(F.struct("sha256", "ins", "pos"), F.when(F.col("st") == "overridden", F.col("pos"))).alias("over_row"),
     )
     b = a.join(answers.join(move_at, "key", "left"), "key", "left")
     key_repeat = F.col("live_row").isNotNull() & (F.col("move_at").isNull() | (F.col("seq") < F.col("move_at")))
@@ -141,15 +141,16 @@ def _ready(seen: DataFrame) -> DataFrame:
     return head.join(own, "key").join(row, "k2", "left").where("t1 = seq and (row_key is null or t2 = seq)").select(*seen.columns)
 
 
-def _delta(ready: DataFrame, state: DataFrame, number: int) -> DataFrame:
+def _delta(ready: DataFrame, number: int) -> DataFrame:
+    """Rows written by the operations carried out: a projection of what they had in hand."""
     d = _decided(ready)
     rows = d.where("outcome in ('inserted', 'staged')").select(
         "sha256", F.coalesce("pos", "seq").alias("pos"), F.when(F.col("outcome") == "inserted", F.col("seq")).otherwise(F.col("ins")).alias("ins"),
         F.when(F.col("outcome") == "inserted", F.col("key")).otherwise(F.col("row_key")).alias("row_key"),
         F.when(F.col("op") == "override", "overridden").otherwise("live").alias("st"))
-    gone = d.where("outcome = 'inserted' and st is null and over_row is not null").select(F.col("over_row.sha256").alias("sha256"))
-    retired = state.join(gone, "sha256").select("sha256", "pos", "ins", "row_key", F.lit("superseded").alias("st"))
-    return checkpointed(rows.unionByName(retired).withColumn("round", F.lit(number)))
+    retired = d.where("outcome = 'inserted' and st is null and over_row is not null").select(
+        F.col("over_row.sha256").alias("sha256"), F.col("over_row.pos").alias("pos"), F.col("over_row.ins").alias("ins"), F.col("key").alias("row_key"), F.lit("superseded").alias("st"))
+    return rows.unionByName(retired).withColumn("round", F.lit(number))
 
 
 def apply(ledger: DataFrame, ops: DataFrame, outcomes: DataFrame) -> DataFrame:

@@ -238,6 +238,7 @@ def match_texts(scanned: DataFrame, plans: DataFrame, docs: DataFrame | None = N
     per_doc = per_doc.select(key, "scores", "plans_seen", nums.alias("nums"), detected.alias("detected"))
 
     if docs is not None:
+        per_doc = checkpointed(per_doc)  # read three times below, written once
         open_nums = per_doc.select(key, F.explode(F.filter("nums", lambda n: ~F.exists("plans_seen", lambda p: p.contains(n)))).alias("num"))
         texts = docs.select(key, matchable(F.col(text)).alias("text_up"))
         texts = texts.join(open_nums.select(key).distinct(), key, "left_semi").dropDuplicates([key])
