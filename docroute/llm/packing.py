@@ -27,7 +27,8 @@ CACHED_CHUNKS = 400_000
 # With ASCII spaces only, the tokenizer's own pieces never cross these chunks: one starts at a space before a word, or
 # at a run of spaces less the last one. Other white space can join such a run, so those texts are encoded whole.
 _CHUNK = re.compile(r" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]")
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_OTHER = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
+_OTHER_SPACE = re.compile(f"[{''.join(map(chr, _OTHER))}]")
 
 
 def encoder(path: str) -> Callable[[str], bytes]:

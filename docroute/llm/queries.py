@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docroute.llm.common import load
+from docroute.llm import mixing
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,10 @@ def tokenizer_path() -> str:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as binary-length sequences."""
     return pack(load(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op10_mixing", mixing.oracle_sql())
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    taken, _ = mixing.mix(load(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
