@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docroute.llm.common import load
-from docroute.llm import mixing
+from docroute.llm import mixing, repetition
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op7_repetition")
+def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and the verdict of every document."""
+    return repetition.judge(load(spark, sf_dir, "documents"))
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as binary-length sequences."""
