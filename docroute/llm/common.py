@@ -45,3 +45,38 @@ class Scratch:
         for n in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{n}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """One number for rows that are equal in all columns."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def with_text(df: DataFrame, text: Column) -> DataFrame:
+    """`df` with another text, and its length in `n_chars` where that column exists."""
+    cols = {"text": text.cast("string")}
+    if "n_chars" in df.columns:
+        cols["n_chars"] = F.char_length(text).cast(df.schema["n_chars"].dataType)
+    return df.withColumns(cols)
+
+
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root) of each node of the links (a, b) other than the smallest of its component, its root.
+
+    Large and small stars in turn: each round links neighbours to the smallest node that a node knows, until nothing
+    changes. A hub's links are aggregated before the shuffle and never gathered.
+    """
+    e = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges_0")
+    before, step = None, 0
+    while True:
+        state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first())
+        if state == before or not state[0]:
+            return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        before, step = state, step + 1
+        both = e.union(e.select("b", "a"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least)
+        e = scratch.write(small.distinct(), f"edges_{step}")
+        scratch.drop(f"edges_{step - 1}")

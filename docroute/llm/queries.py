@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docroute.llm.common import load
-from docroute.llm import mixing, repetition
+from docroute.llm import linededup, mixing, repetition
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,13 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op4_linededup", linededup.ORACLE_SQL)
+def op4_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of repeated line runs."""
+    out = linededup.dedup(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_deleted").alias("n_deleted"), "text")
+
+
 @query("op7_repetition")
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts and the verdict of every document."""
