@@ -69,6 +69,11 @@ def _md5_keys(source_no: Column, epoch: Column, n: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), key)
 
 
+def _width(df: DataFrame) -> int:
+    """Tasks for few rows that make many: a stated number is not joined into one for their small size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def draw(sources: DataFrame, shard: int = SHARD) -> DataFrame:
     """(shard, source_no, n_blocks, first, count): the slots of every source in every shard, `first` of them before it."""
     total = Window.partitionBy()
@@ -80,7 +85,7 @@ def draw(sources: DataFrame, shard: int = SHARD) -> DataFrame:
         F.sequence(F.lit(1), F.lit(ROUNDS)),
         lambda r: F.struct(r.alias("round"), F.pmod(F.xxhash64(F.lit("shard"), r), F.col("n_slots")).alias("key")),
     )
-    s = s.repartition("source_no", "piece").withColumn("keys", keys)
+    s = s.repartition(_width(s), "source_no", "piece").withColumn("keys", keys)
     s = s.select("*", F.explode(F.sequence("piece", F.least(F.col("piece") + piece, F.col("uses")) - 1)).alias("use"))
     slot = _swapped(F.col("start") + F.col("use"), F.col("n_slots"), F.col("keys"), lambda r, hi: F.xxhash64(r, hi) < 0)
     counts = s.groupBy((slot / shard).cast("long").alias("shard"), "source_no", "n_blocks").agg(F.count("*").alias("count"))
@@ -91,7 +96,7 @@ def draw(sources: DataFrame, shard: int = SHARD) -> DataFrame:
 def slots(counts: DataFrame) -> DataFrame:
     """(shard, source_no, nth, block): a row per slot, `nth` of its source over all shards."""
     n, first, last = F.col("n_blocks"), F.col("first"), F.col("first") + F.col("count") - 1
-    s = counts.repartition("shard", "source_no").select(
+    s = counts.repartition(_width(counts), "shard", "source_no").select(
         "*", F.explode(F.sequence((first / n).cast("long"), (last / n).cast("long"))).alias("epoch")
     )
     s = s.withColumn("keys", _md5_keys(F.col("source_no"), F.col("epoch"), n))
