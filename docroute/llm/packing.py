@@ -43,18 +43,18 @@ def encoder(path: str) -> Callable[[str], bytes]:
     tok.encode_special_tokens = True
     known: dict[str, bytes] = {}
 
-    def ids(texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def ids(text: str) -> bytes:
+        return np.asarray(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(text: str) -> bytes:
         if _OTHER_SPACE.search(text):
-            return ids([text])[0]
+            return ids(text)
         chunks = _CHUNK.findall(text)
         new = [c for c in set(chunks) if c not in known]
         if len(known) + len(new) > CACHED_CHUNKS:
             known.clear()
             new = list(set(chunks))
-        known.update(zip(new, ids(new)))
+        known.update(zip(new, map(ids, new)))
         return b"".join(map(known.__getitem__, chunks))
 
     return encode

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.common import load
-from docroute.llm import linededup, mixing, repetition, simhash
+from docroute.llm import ann, linededup, mixing, repetition, simhash
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query("op3_ann")
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth vector."""
+    return ann.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op4_linededup", linededup.ORACLE_SQL)
 def op4_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of repeated line runs."""
