@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.common import load
-from docroute.llm import ann, linededup, mixing, repetition, simhash
+from docroute.llm import ann, linededup, mixing, ppm, repetition, simhash
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,17 @@ def op4_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_deleted").alias("n_deleted"), "text")
 
 
+def crc_of(col: str) -> Column:
+    """CRC-32 of a number as text; of a null, as of an empty text."""
+    return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
+
+
+@query("op5_ppm")
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability, learned from four fifths of them, and that of a unigram word model."""
+    return ppm.score(load(spark, sf_dir, "documents"), crc_of("doc_id") % 5 == 1)
+
+
 @query("op7_repetition")
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts and the verdict of every document."""
