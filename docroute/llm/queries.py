@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.common import load
-from docroute.llm import ann, linededup, mixing, ppm, repetition, simhash
+from docroute.llm import ann, linededup, mixing, ppm, repetition, simhash, toxicity
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,15 @@ def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(load(spark, sf_dir, "documents"), crc_of("doc_id") % 5 == 1)
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels of four fifths of them."""
+    docs = load(spark, sf_dir, "documents")
+    held = crc_of("doc_id") % 5 == 0
+    found = toxicity.score(docs, toxicity.model(docs, load(spark, sf_dir, "labels"), ~held))
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 @query("op7_repetition")
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts and the verdict of every document."""
