@@ -30,11 +30,14 @@ def _lines() -> Column:
     return F.split(text_of(), "\n", -1)
 
 
-def _named(rows: DataFrame, by: list[str]) -> DataFrame:
-    """The rows whose `by` occurs at another place too, with the first place it occurs at as `first`."""
+def _named(rows: DataFrame, by: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """The rows whose `by` occurs at another place too, with the first place it occurs at as `first`.
+
+    The classes are written first: a join of two plain shuffles is one whose hot keys Spark can split.
+    """
     place = F.struct("doc_id", "k", "q", "line")
     classes = rows.groupBy(*by).agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first.k <> other.k OR first.q <> other.q")
-    return rows.join(classes.drop("other"), by).select("doc_id", "k", "q", "line", "last", "first")
+    return rows.join(scratch.write(classes.drop("other"), name), by).select("doc_id", "k", "q", "line", "last", "first")
 
 
 def repeated(docs: DataFrame, scratch: Scratch, least: int = MIN_LINES) -> list[tuple[int, DataFrame]]:
@@ -46,15 +49,17 @@ def repeated(docs: DataFrame, scratch: Scratch, least: int = MIN_LINES) -> list[
     lines = docs.select(F.col("doc_id").cast("long"), _key().alias("k"), F.posexplode(wordy).alias("q", "at"))
     hashes = F.xxhash64("at.text").alias("h1"), F.xxhash64(F.lit(1), "at.text").alias("h2")
     lines = scratch.write(lines.select("doc_id", "k", "q", F.col("at.line").alias("line"), F.col("at.line").alias("last"), *hashes), "lines")
-    h, level, found = 1, scratch.write(_named(lines, ["h1", "h2"]).distinct(), "level_1"), []
-    scratch.drop("lines")
+    h, level, found = 1, scratch.write(_named(lines, ["h1", "h2"], scratch, "classes_1").distinct(), "level_1"), []
+    scratch.drop("lines", "classes_1")
     while level.count():
         if h >= least:
             found.append((h, level))
         ahead = level.select("k", (F.col("q") - h).alias("q"), "last", F.col("first.k").alias("k2"), F.col("first.q").alias("q2"))
         pairs = level.select("doc_id", "k", "q", "line", F.col("first.k").alias("k1"), F.col("first.q").alias("q1")).join(ahead, ["k", "q"])
         h *= 2
-        level = scratch.write(_named(pairs, ["k1", "q1", "k2", "q2"]), f"level_{h}")
+        pairs = scratch.write(pairs, f"pairs_{h}")
+        level = scratch.write(_named(pairs, ["k1", "q1", "k2", "q2"], scratch, f"classes_{h}"), f"level_{h}")
+        scratch.drop(f"pairs_{h}", f"classes_{h}")
         if h // 2 < least:
             scratch.drop(f"level_{h // 2}")
     return found
@@ -112,7 +117,8 @@ def drop_copied_lines(docs: DataFrame, **how) -> DataFrame:
 
 ORACLE_SQL = r"""
 WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
-wordy AS (SELECT *, lead(line) OVER w AS next_line, lead(i) OVER w AS next_i FROM lines WHERE regexp_matches(line, '[^ 	-]') WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+wordy AS (SELECT *, lead(line) OVER w AS next_line, lead(i) OVER w AS next_i FROM lines WHERE regexp_matches(line, '[^ 	-
+]') WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 seen AS (SELECT *, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, i) AS nth FROM wordy WHERE next_line IS NOT NULL),
 cut AS (SELECT DISTINCT doc_id, unnest(range(i, next_i + 1)) AS i FROM seen WHERE nth > 1)
 SELECT l.doc_id, CAST(count(*) AS INT) AS n_lines, CAST(count(c.i) AS INT) AS n_deleted, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE c.i IS NULL), '') AS text

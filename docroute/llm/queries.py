@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.common import load
-from docroute.llm import ann, linededup, mixing, ppm, repetition, simhash, toxicity
+from docroute.llm import ann, chat, linededup, mixing, ppm, repetition, simhash, toxicity
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,12 @@ def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(load(spark, sf_dir, "documents"))
 
 
+@query("op8_chat", chat.ORACLE_SQL)
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, and what it replies to."""
+    return chat.conversations(load(spark, sf_dir, "conversations"))
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as binary-length sequences."""
