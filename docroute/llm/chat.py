@@ -105,7 +105,7 @@ quoted AS (SELECT p.conv_id, p.turn, p.m, p.level, p.run, p.whole, s.original FR
 best AS (SELECT conv_id, turn, m, level, max(original) AS original FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn, m, level, run ORDER BY whole DESC, original DESC) AS nth FROM quoted) WHERE nth = 1 GROUP BY ALL),
 linked AS (SELECT conv_id, turn, m, min_by(original, level) AS reply_to FROM best GROUP BY ALL),
 before AS (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM (SELECT DISTINCT conv_id, turn FROM conversations))
-SELECT c.conv_id, c.turn, c.role, coalesce(l.reply_to, b.before) AS reply_to, CAST(len(list_filter(string_split(coalesce(c.text, ''), chr(10)), lambda x: regexp_matches(x, '^[ \t]*>'))) AS INT) AS n_quoted,
+SELECT c.conv_id, c.turn, c.role, coalesce(l.reply_to, b.before, -1) AS reply_to, CAST(len(list_filter(string_split(coalesce(c.text, ''), chr(10)), lambda x: regexp_matches(x, '^[ \t]*>'))) AS INT) AS n_quoted,
   regexp_replace(array_to_string(list_filter(string_split(coalesce(c.text, ''), chr(10)), lambda x: NOT regexp_matches(x, '^[ \t]*>')), chr(10)), '^\n+|\n+$', '', 'g') AS text,
   '<|' || coalesce(c.role, '') || '|>' || chr(10) || regexp_replace(array_to_string(list_filter(string_split(coalesce(c.text, ''), chr(10)), lambda x: NOT regexp_matches(x, '^[ \t]*>')), chr(10)), '^\n+|\n+$', '', 'g') || chr(10) AS formatted
 FROM conversations c LEFT JOIN before b ON c.conv_id = b.conv_id AND c.turn = b.turn LEFT JOIN linked l ON c.conv_id = l.conv_id AND c.turn = l.turn AND md5(concat(c.role, ':', c.text)) = l.m"""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.common import load
-from docroute.llm import ann, chat, linededup, mixing, ppm, repetition, simhash, toxicity
+from docroute.llm import ann, chat, linededup, mixing, passages, ppm, repetition, simhash, toxicity
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query("op2_passages")
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that share near-duplicate passages, where, and their class."""
+    return passages.find(load(spark, sf_dir, "documents"))
+
+
 @query("op3_ann")
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every twentieth vector."""
@@ -80,7 +86,8 @@ def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_chat", chat.ORACLE_SQL)
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message without its quotes, and what it replies to."""
-    return chat.conversations(load(spark, sf_dir, "conversations"))
+    found = chat.conversations(load(spark, sf_dir, "conversations"))
+    return found.withColumn("reply_to", F.coalesce("reply_to", F.lit(-1)))
 
 
 @query("op9_packing")
