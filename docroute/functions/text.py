@@ -39,9 +39,13 @@ AMOUNT = [
 
 # Characters and names a file system rejects.
 INVALID_CHARS = r'[<>:"/\\|?*\x00-\x1f]'
-RESERVED_NAMES = ["CON", "PRN", "AUX", "NUL"] + [f"{p}{i}" for p in ("COM", "LPT") for i in range(1, 10)]
+RESERVED_NAMES = [
+    "CON", "PRN", "AUX", "NUL", "COM1", "COM2", "COM3", "COM4", "COM5", "COM6", "COM7", "COM8", "COM9",
+    "LPT1", "LPT2", "LPT3", "LPT4", "LPT5", "LPT6", "LPT7", "LPT8", "LPT9",
+]
 MAX_NAME = 180
 
+# Month names of file names, and the business time zone.
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 
 
@@ -118,7 +122,7 @@ def amount_cents(text) -> Column:
     first = [F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in AMOUNT[:-1]]
     last = F.try_element_at(F.regexp_extract_all(t, F.lit(AMOUNT[-1]), F.lit(1)), F.lit(-1))
     raw = F.replace(F.coalesce(*first, last), F.lit(","), F.lit(""))
-    return (raw.try_cast("decimal(30,2)") * 100).cast("bigint")
+    return F.replace(raw, F.lit("."), F.lit("")).try_cast("bigint")  # more cents than 64 bits hold are no amount
 
 
 def leaf_name(c) -> Column:
@@ -263,19 +267,24 @@ def month_refusal(target, today) -> Column:
 
 
 def check_key(c) -> Column:
-    """Sort key of a check number: (upper prefix, integer, suffix); no digits sorts last."""
+    """Sort key of a check number: (upper prefix, integer, suffix); no digits sorts last.
+
+    The integer is its digits without leading zeros, ordered by their number first, so it may have any length.
+    """
     s = strip(c)
     p = r"(?s)^([^\d]*)(\d+)(.*)$"
     has = s.rlike(p)
+    digits = F.ltrim(F.regexp_extract(s, p, 2), F.lit("0"))
     return F.when(
         has,
         F.struct(
             F.upper(F.regexp_extract(s, p, 1)).alias("prefix"),
-            F.regexp_extract(s, p, 2).cast("decimal(38,0)").alias("num"),
+            F.length(digits).alias("n_digits"),
+            digits.alias("num"),
             F.regexp_extract(s, p, 3).alias("suffix"),
         ),
     ).otherwise(
-        F.struct(F.concat(F.lit("~"), F.upper(s)).alias("prefix"), F.lit(0).cast("decimal(38,0)").alias("num"), s.alias("suffix"))
+        F.struct(F.concat(F.lit("~"), F.upper(s)).alias("prefix"), F.lit(0).alias("n_digits"), F.lit("").alias("num"), s.alias("suffix"))
     )
 
 

@@ -9,7 +9,6 @@ from docroute.functions import text as t
 from docroute.operators import dimension
 from docroute.session import checkpointed
 
-MAX_PREFIXES = 20_000
 EXACT, SUFFIX_DROPPED, SHARED_MANAGER, BY_NAME = 10, 9, 7, 6  # fixed scoring weights
 LEAD = 3
 NAME_WORD, NAME_CAP, NAME_MIN = 3, 12, 6
@@ -112,16 +111,19 @@ def resolve_payer(files: DataFrame, plans: DataFrame, name_col: str = "file_name
 # ---- document text
 
 def list_pattern(plans: DataFrame) -> Column:
-    """The code pattern restricted to the list's own prefixes, longest first, as one scalar subquery."""
+    """The code pattern restricted to the list's own prefixes, longest first, as one scalar subquery.
+
+    Prefixes are nested by their first and second letter, so a place in a text is held against a few dozen letters and
+    the endings of one pair, however long the list is.
+    """
     p = dimension.coded(plans).select("prefix").distinct()
-    n = F.count("*")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct((-F.length("prefix")).alias("k"), "prefix"))), lambda x: x["prefix"])
-    alt = (
-        F.when(n > MAX_PREFIXES, F.raise_error(F.lit("plan list has too many code prefixes for one pattern")).cast("string"))
-        .when(n == 0, F.lit(t.ANY_PREFIX))
-        .otherwise(F.array_join(ordered, "|"))
-    )
-    return p.agg(F.concat(F.lit(t.LIST_CODE_HEAD + "("), alt, F.lit(")" + t.CODE_TAIL)).alias("pattern")).scalar()
+    ending = F.struct((-F.length("prefix")).alias("k"), F.substring("prefix", 3, 6).alias("rest"))
+    pairs = p.groupBy(F.substring("prefix", 1, 1).alias("a"), F.substring("prefix", 2, 1).alias("b")).agg(F.array_sort(F.collect_list(ending)).alias("ends"))
+    pairs = pairs.select("a", F.concat("b", F.lit("(?:"), F.array_join("ends.rest", "|"), F.lit(")")).alias("tail"))
+    first = pairs.groupBy("a").agg(F.array_sort(F.collect_list("tail")).alias("tails"))
+    first = first.select(F.concat("a", F.lit("(?:"), F.array_join("tails", "|"), F.lit(")")).alias("branch"))
+    alt = F.when(F.count("*") == 0, F.lit(t.ANY_PREFIX)).otherwise(F.array_join(F.array_sort(F.collect_list("branch")), "|"))
+    return first.agg(F.concat(F.lit(t.LIST_CODE_HEAD + "("), alt, F.lit(")" + t.CODE_TAIL)).alias("pattern")).scalar()
 
 
 def matchable(c) -> Column:

@@ -43,7 +43,7 @@ def manifest(candidates: DataFrame, tie: str = "file_no") -> DataFrame:
 
     Positions come from a range-partitioned count, so a plan-month with very many files is not one task's work.
     """
-    c = candidates.withColumn("k", t.check_key("check")).withColumns({"k1": F.col("k.prefix"), "k2": F.col("k.num"), "k3": F.col("k.suffix")}).drop("k")
+    c = candidates.withColumn("k", t.check_key("check")).withColumns({"k1": F.col("k.prefix"), "k2": F.struct("k.n_digits", "k.num"), "k3": F.col("k.suffix")}).drop("k")
     return positions(c, MONTH, [F.asc("k1"), F.asc("k2"), F.asc("k3"), F.asc("file_name"), F.asc(tie)])
 
 

@@ -14,12 +14,12 @@ from docroute.sources.tables import table
 
 def listed(spark: SparkSession, d: str) -> DataFrame:
     """The raw plan list, parsed and validated; its conflicts are reported, not refused."""
-    return plan_list.snapshot(f"list {d}", lambda: plan_list.load_plans(table(spark, d, "fx_plan_list"), strict=False))
+    return plan_list.written(plan_list.load_plans(table(spark, d, "fx_plan_list"), strict=False))
 
 
 def plans(spark: SparkSession, d: str) -> DataFrame:
     """The clean plan dimension that the other queries route on."""
-    return plan_list.snapshot(f"plans {d}", lambda: plan_list.load_plans(table(spark, d, "fx_plans").withColumnRenamed("plan_id", "row_no")))
+    return plan_list.written(plan_list.load_plans(table(spark, d, "fx_plans").withColumnRenamed("plan_id", "row_no")))
 
 
 COLS = "plan_norm, plan_raw, strata_name, manager_name, manager_key, manager_email, ap_name, ap_key, ap_email"

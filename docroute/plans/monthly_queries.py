@@ -49,7 +49,7 @@ SELECT *, CASE WHEN regexp_matches(g1, '\d') THEN upper(regexp_extract(g1, '^([^
 @query("check_order", "SELECT file_no, g1 AS check_no, k1, CAST(k2 AS VARCHAR) AS k2, k3 FROM arch_order")
 def check_order(spark, d):
     c = mo.scan(files(spark, d)).where("kind = 'candidate'").withColumn("k", t.check_key("check"))
-    return c.select("file_no", F.col("check").alias("check_no"), F.col("k.prefix").alias("k1"), F.col("k.num").cast("string").alias("k2"), F.col("k.suffix").alias("k3"))
+    return c.select("file_no", F.col("check").alias("check_no"), F.col("k.prefix").alias("k1"), F.when(F.col("k.num") == "", "0").otherwise(F.col("k.num")).alias("k2"), F.col("k.suffix").alias("k3"))
 
 
 @query("merge_manifest", "SELECT plan, year, month, file_no, file_name, row_number() OVER (PARTITION BY plan, year, month ORDER BY k1, k2, k3, file_name, file_no) AS position FROM arch_order")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docroute.functions import text as t
@@ -13,6 +13,24 @@ FINDINGS = ["category", "sha256", "plan_norm", "detail"]
 LOG_LINE = r"^(.*?) \| (.*?) \| (.*)$"
 
 
+def place() -> list[Column]:
+    """Where a line was read: within one split of a file the reader's order is the file's."""
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth")]
+
+
+def numbered(lines: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Replaces the place of each row by its number, from 0, within `keys` (columns, or none for all), files in order of their paths.
+
+    Each split numbers its own lines and is moved on by the lines of the splits before it, so no file is one task's work.
+    """
+    splits = lines.groupBy(*keys, "file", "block").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = F.row_number().over(Window.partitionBy("file", "block").orderBy("nth")) - 1
+    out = lines.withColumn("_own", within).join(splits, [*keys, *(c for c in ("file", "block") if c not in keys)])
+    return out.withColumn(name, F.col("_before") + F.col("_own")).drop("_own", "_before", "block", "nth")
+
+
 def scan_folder(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
     """Files of a folder tree with their bytes; columns that are not used are not read."""
     f = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
@@ -31,7 +49,9 @@ def real_pdf(files: DataFrame) -> DataFrame:
 
 def listing(files: DataFrame, root: str) -> DataFrame:
     """Name, size, time and path relative to `root`, newest first."""
-    rel = F.regexp_replace("path", F.lit("^.*?" + root.rstrip("/").replace(".", r"\.") + "/"), F.lit(""))
+    inside = F.lit(root.rstrip("/") + "/")
+    at = F.instr(F.col("path"), inside)
+    rel = F.when(at > 0, F.substring(F.col("path"), at + F.length(inside), F.length("path"))).otherwise(F.col("path"))
     out = files.select(F.col("file_name").alias("filename"), "size_bytes", F.date_format("mtime", "yyyy-MM-dd'T'HH:mm:ss").alias("mtime_iso"), rel.alias("path_rel_to_root"))
     return out.select(*LISTING).orderBy(F.desc("mtime_iso"), "path_rel_to_root")
 
@@ -42,11 +62,12 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def step_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Step, file, line_no and the three fields of each log line; line_no is the position within the file."""
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_no"))
-    step = F.regexp_extract(F.substring_index("file", "/", -1), r"^(step_\w+?)_\d{4}-", 1)
+    """Step, day, file, line_no and the three fields of each log line; line_no is the position within the file."""
+    raw = numbered(spark.read.text(path).select("value", *place()), ["file"], "line_no")
+    leaf = F.substring_index("file", "/", -1)
+    step, day = F.regexp_extract(leaf, r"^(step_\w+?)_\d{4}-", 1), F.regexp_extract(leaf, r"_(\d{4}-\d{2}-\d{2})", 1).try_cast("date")
     g = [F.regexp_extract("value", LOG_LINE, i) for i in (1, 2, 3)]
-    return raw.select(step.alias("step"), "file", "line_no", "value", g[0].alias("logged_at"), g[1].alias("level"), g[2].alias("message"))
+    return raw.select(step.alias("step"), day.alias("day"), "file", "line_no", "value", g[0].alias("logged_at"), g[1].alias("level"), g[2].alias("message"))
 
 
 def recent_logs(logs: DataFrame, mtime: str, run_ts, days: int) -> DataFrame:

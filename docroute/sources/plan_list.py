@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docroute.functions import text as t
 from docroute.operators import dimension
 from docroute.session import checkpointed
+from docroute.sources.files import numbered, place
 
 # List headers, as they come, and the column each one feeds.
 HEADERS = {
@@ -17,10 +18,10 @@ HEADERS = {
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A list export with a header row. Row order is the file's: `row_no` is its position within one file."""
+    """A list export with a header row. `row_no` is the row's position in its file, and files follow each other by name."""
     df = spark.read.option("header", True).option("multiLine", False).csv(path)
-    named = df.select(*[F.col(f"`{h}`").cast("string").alias(c) if h in df.columns else F.lit(None).cast("string").alias(c) for h, c in HEADERS.items()])
-    rows = named.withColumn("row_no", F.monotonically_increasing_id())
+    named = df.select(*place(), *[F.col(f"`{h}`").cast("string").alias(c) if h in df.columns else F.lit(None).cast("string").alias(c) for h, c in HEADERS.items()])
+    rows = numbered(named, [], "row_no").drop("file")
     return rows.where(F.concat_ws("", *[t.strip(F.col(c)) for c in HEADERS.values()]) != "")
 
 
@@ -38,15 +39,6 @@ def require_fresh(snapshots: DataFrame, run_date) -> DataFrame:
     return today
 
 
-_SNAPSHOTS: dict[tuple[str, str], DataFrame] = {}
-
-
-def snapshot(name: str, build) -> DataFrame:
-    """The day's parsed list, written once to the shared folder and read by every later job of the application.
-
-    `name` identifies list and day; `build()` gives the parsed rows the first time.
-    """
-    key = (SparkSession.active().sparkContext.applicationId, name)
-    if key not in _SNAPSHOTS:
-        _SNAPSHOTS[key] = checkpointed(build())
-    return _SNAPSHOTS[key]
+def written(parsed: DataFrame) -> DataFrame:
+    """The parsed list, written once to the shared folder, so that all operators of a job read the same rows."""
+    return checkpointed(parsed)

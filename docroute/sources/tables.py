@@ -6,8 +6,6 @@ feeds Spark here and the SQL checks in `docroute.plans.oracles`.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +38,7 @@ SELECT o_orderkey AS msg_id, o_custkey AS conversation_id, o_orderdate AS receiv
   CASE WHEN o_orderkey % 6 IN (0, 4) AND o_orderkey % 4 <> 2 THEN concat('Please process for ', prefix, '_', base_no, suffix) ELSE 'See attached.' END AS body_preview,
   o_orderkey % 9 <> 0 AS has_attachments,
   CASE WHEN o_orderkey % 8 = 0 THEN 'not an email' ELSE concat('Billing <AR@Vendor', o_custkey % 20, '.Example.COM>') END AS from_addr
-FROM orders JOIN fx_plans p ON p.plan_id = o_custkey"""),
+FROM (SELECT o.*, coalesce(p.prefix, 'QQ') AS prefix, coalesce(p.base_no, 7000 + o_custkey % 900) AS base_no, coalesce(p.suffix, '') AS suffix FROM orders o LEFT JOIN fx_plans p ON p.plan_id = o_custkey) p"""),
     "fx_attachments": (("lineitem", "orders", "fx_plans"), """
 SELECT l_orderkey AS msg_id, l_linenumber AS att_idx,
   CASE WHEN l_linenumber % 7 = 0 THEN 'image001.png' WHEN l_linenumber % 6 = 0 THEN concat('scan', l_orderkey) ELSE concat(prefix, ' ', base_no, suffix, ' - inv ', l_linenumber, '.pdf') END AS name,
@@ -48,7 +46,7 @@ SELECT l_orderkey AS msg_id, l_linenumber AS att_idx,
   CASE WHEN (l_orderkey + l_linenumber) % 23 = 0 THEN '<html>' ELSE '%PDF-' END AS head,
   CASE WHEN (l_orderkey + l_linenumber) % 10 = 0 THEN '' ELSE concat('Acme Services Strata Plan ', CASE WHEN (l_orderkey + l_linenumber) % 13 = 0 THEN concat('KAS ', 9000 + l_linenumber) ELSE concat(prefix, ' ', base_no, suffix) END, CASE WHEN l_linenumber % 2 = 0 THEN ' C/O Harbour' ELSE '' END, ' Invoice No. INV-', l_orderkey, '-', CASE WHEN l_linenumber > 4 THEN 1 ELSE l_linenumber END, ' Total 1.00 Total Due: $', CAST(floor(cents / 100) AS BIGINT), '.', lpad(CAST(cents % 100 AS VARCHAR(4)), 2, '0'), CASE WHEN l_linenumber = 6 THEN ' reissued' ELSE '' END) END AS content_text
 FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 4 THEN 12345 ELSE CAST(round(l_extendedprice * 100) AS BIGINT) END AS cents FROM lineitem) l
-JOIN orders ON o_orderkey = l_orderkey JOIN fx_plans p ON p.plan_id = o_custkey"""),
+JOIN (SELECT o.*, coalesce(p.prefix, 'QQ') AS prefix, coalesce(p.base_no, 7000 + o_custkey % 900) AS base_no, coalesce(p.suffix, '') AS suffix FROM orders o LEFT JOIN fx_plans p ON p.plan_id = o_custkey) p ON o_orderkey = l_orderkey"""),
     "fx_archive_files": (("orders", "fx_plans"), """
 SELECT concat(p.prefix, CASE WHEN o_orderkey % 50 = 0 THEN 'X' ELSE '' END, p.base_no, p.suffix) AS plan_folder,
   CASE WHEN o_orderkey % 29 = 0 THEN concat('vendor copy ', o_orderkey, '.pdf')
@@ -58,7 +56,7 @@ SELECT concat(p.prefix, CASE WHEN o_orderkey % 50 = 0 THEN 'X' ELSE '' END, p.ba
          split_part('January,February,March,April,May,June,July,August,September,October,November,December', ',', CAST(CASE WHEN o_orderkey % 37 = 0 THEN 1 ELSE month(o_orderdate) END AS INT)),
          ' ', year(o_orderdate), ' inv', CASE WHEN o_orderkey % 11 = 0 THEN ' (1)' ELSE '' END, '.pdf') END AS file_name,
   o_orderdate AS mtime, CAST(floor(o_totalprice) AS BIGINT) AS size_bytes, o_orderkey AS file_no
-FROM orders JOIN fx_plans p ON p.plan_id = o_custkey"""),
+FROM (SELECT o.*, coalesce(p.prefix, 'QQ') AS prefix, coalesce(p.base_no, 7000 + o_custkey % 900) AS base_no, coalesce(p.suffix, '') AS suffix FROM orders o LEFT JOIN fx_plans p ON p.plan_id = o_custkey) p"""),
     "fx_queue_files": (("documents",), """
 SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'To_Approve' WHEN 1 THEN 'Approved' WHEN 2 THEN 'Approved_Invoices' WHEN 3 THEN 'Paid_Invoices' ELSE '_Unmatched' END AS stage,
   concat(CASE WHEN doc_id % 5 IN (0, 1) THEN 'Manager ' ELSE 'AP ' END, doc_id % 7) AS owner,
@@ -93,29 +91,16 @@ PAGE_WORDS = [
 ]
 
 
-def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one parquet table; inputs of fewer splits than cores are spread so that small runs use them all."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) < cores and name in _SPREAD and _local_bytes(files) < cores * _SPLIT_BYTES:
-        df = df.repartition(cores, _SPREAD[name])
-    return df
-
-
-_SPLIT_BYTES = 128 << 20
+#: Session setting: tasks that read `lineitem`, `orders` and `events`, whose text work is heavy; unset, one per input split.
+SPREAD = "spark.docroute.inputTasks"
 _SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
-def _local_bytes(files: list[str]) -> int:
-    total = 0
-    for f in files:
-        p = f.removeprefix("file://")
-        if not os.path.exists(p):
-            return 1 << 62
-        total += os.path.getsize(p)
-    return total
+def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one parquet table; a setting can deal the rows of coarse files out to more tasks."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    tasks = spark.conf.get(SPREAD, None)
+    return df.repartition(int(tasks), _SPREAD[name]) if tasks and name in _SPREAD else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
