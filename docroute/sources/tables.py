@@ -41,10 +41,13 @@ SELECT o_orderkey AS msg_id, o_custkey AS conversation_id, o_orderdate AS receiv
 FROM (SELECT o.*, coalesce(p.prefix, 'QQ') AS prefix, coalesce(p.base_no, 7000 + o_custkey % 900) AS base_no, coalesce(p.suffix, '') AS suffix FROM orders o LEFT JOIN fx_plans p ON p.plan_id = o_custkey) p"""),
     "fx_attachments": (("lineitem", "orders", "fx_plans"), """
 SELECT l_orderkey AS msg_id, l_linenumber AS att_idx,
-  CASE WHEN l_linenumber % 7 = 0 THEN 'image001.png' WHEN l_linenumber % 6 = 0 THEN concat('scan', l_orderkey) ELSE concat(prefix, ' ', base_no, suffix, ' - inv ', l_linenumber, '.pdf') END AS name,
+  CASE WHEN l_linenumber % 7 = 0 THEN 'image001.png' WHEN l_linenumber % 6 = 0 THEN concat('scan', l_orderkey) WHEN l_orderkey % 32 = 12 THEN concat('scan', l_orderkey, '.pdf') WHEN l_orderkey % 32 IN (10, 26) THEN concat(prefix, ' ', base_no + 5, 'A - inv ', l_linenumber, '.pdf') ELSE concat(prefix, ' ', base_no, suffix, ' - inv ', l_linenumber, '.pdf') END AS name,
   CASE WHEN l_linenumber % 7 = 0 THEN 'image/png' WHEN l_linenumber % 6 = 0 THEN 'application/octet-stream' ELSE 'application/pdf' END AS content_type,
   CASE WHEN (l_orderkey + l_linenumber) % 23 = 0 THEN '<html>' ELSE '%PDF-' END AS head,
-  CASE WHEN (l_orderkey + l_linenumber) % 10 = 0 THEN '' ELSE concat('Acme Services Strata Plan ', CASE WHEN (l_orderkey + l_linenumber) % 13 = 0 THEN concat('KAS ', 9000 + l_linenumber) ELSE concat(prefix, ' ', base_no, suffix) END, CASE WHEN l_linenumber % 2 = 0 THEN ' C/O Harbour' ELSE '' END, ' Invoice No. INV-', l_orderkey, '-', CASE WHEN l_linenumber > 4 THEN 1 ELSE l_linenumber END, ' Total 1.00 Total Due: $', CAST(floor(cents / 100) AS BIGINT), '.', lpad(CAST(cents % 100 AS VARCHAR(4)), 2, '0'), CASE WHEN l_linenumber = 6 THEN ' reissued' ELSE '' END) END AS content_text
+  CASE WHEN (l_orderkey + l_linenumber) % 10 = 0 THEN '' ELSE concat('Acme Services Strata Plan ', CASE WHEN (l_orderkey + l_linenumber) % 13 = 0 THEN concat('KAS ', 9000 + l_linenumber)
+    WHEN l_orderkey % 16 = 5 OR (l_orderkey % 16 = 7 AND l_linenumber % 2 = 1) THEN concat(prefix, ' ', base_no + 5, 'A')
+    WHEN l_orderkey % 16 = 1 OR (l_orderkey % 16 = 3 AND l_linenumber % 2 = 1) THEN concat(prefix, ' ', base_no, CASE WHEN suffix = 'A' THEN 'B' ELSE 'A' END)
+    ELSE concat(prefix, ' ', base_no, suffix) END, CASE WHEN l_linenumber % 2 = 0 THEN ' C/O Harbour' ELSE '' END, ' Invoice No. INV-', l_orderkey, '-', CASE WHEN l_linenumber > 4 THEN 1 ELSE l_linenumber END, ' Total 1.00 Total Due: $', CAST(floor(cents / 100) AS BIGINT), '.', lpad(CAST(cents % 100 AS VARCHAR(4)), 2, '0'), CASE WHEN l_linenumber = 6 THEN ' reissued' ELSE '' END) END AS content_text
 FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 4 THEN 12345 ELSE CAST(round(l_extendedprice * 100) AS BIGINT) END AS cents FROM lineitem) l
 JOIN (SELECT o.*, coalesce(p.prefix, 'QQ') AS prefix, coalesce(p.base_no, 7000 + o_custkey % 900) AS base_no, coalesce(p.suffix, '') AS suffix FROM orders o LEFT JOIN fx_plans p ON p.plan_id = o_custkey) p ON o_orderkey = l_orderkey"""),
     "fx_archive_files": (("orders", "fx_plans"), """
