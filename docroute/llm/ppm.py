@@ -33,7 +33,7 @@ from docroute.llm.common import Scratch, text_of
 ORDER = 5
 SYMBOLS = 257
 #: Bytes of text that are counted or scored at once.
-CHUNK = 1 << 22
+CHUNK = 1 << 19
 _END = 0xFF
 _END_WORD = 0x656E64
 
