@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,18 @@ def n_words(col: Column) -> Column:
     return F.regexp_count(col, F.lit(WORD)).cast("long")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Fewer rows than usual in the batches between the JVM and Python, for jobs that run meanwhile and hold long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Scratch:
     """Parquet tables under the shared folder named by `spark.checkpoint.dir` (a temporary folder where that is unset).
 

@@ -31,6 +31,39 @@ _OTHER = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C)
 _OTHER_SPACE = re.compile(f"[{''.join(map(chr, _OTHER))}]")
 
 
+# The split that a byte-level tokenizer makes, and the printable bytes that stand for themselves in its file.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Below this all Unicode versions agree on what a letter is.
+_LATIN_END = chr(0x250)
+
+
+def _fast(vocabulary: dict[str, int]) -> Callable[[list[str]], list[bytes]]:
+    """The same ids by another library, far faster on new words; the file's ids are its merges' ranks.
+
+    The chunks, each a space and a word, are encoded as one text, whose tokens are then dealt out by their bytes.
+    """
+    import numpy as np
+    import tiktoken
+
+    others = [b for b in range(256) if b not in _PRINTABLE]
+    byte = {chr(b): b for b in _PRINTABLE} | {chr(256 + k): b for k, b in enumerate(others)}
+    ranks = {bytes(map(byte.__getitem__, piece)): i for piece, i in vocabulary.items() if all(c in byte for c in piece)}
+    encoding = tiktoken.Encoding("pieces", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+    size = np.zeros(max(ranks.values()) + 1, np.int64)
+    size[list(ranks.values())] = [len(piece) for piece in ranks]
+
+    def encode(chunks: list[str]) -> list[bytes]:
+        if not chunks:
+            return []
+        ids = encoding.encode_to_numpy("".join(chunks), disallowed_special=())
+        ends = np.searchsorted(np.cumsum(size[ids]), np.cumsum([len(c.encode()) for c in chunks])) * 4 + 4
+        data, ends = ids.astype("<u4").tobytes(), ends.tolist()
+        return [data[s:e] for s, e in zip([0, *ends], ends)]
+
+    return encode
+
+
 def encoder(path: str) -> Callable[[str], bytes]:
     """Text to its ids as little-endian 32-bit words, remembering the ids of frequent chunks."""
     import os
@@ -41,20 +74,22 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    known: dict[str, bytes] = {}
+    fast, known = _fast(tok.get_vocab(with_added_tokens=False)), {}
 
-    def ids(text: str) -> bytes:
+    def whole(text: str) -> bytes:
         return np.asarray(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(text: str) -> bytes:
         if _OTHER_SPACE.search(text):
-            return ids(text)
+            return whole(text)
         chunks = _CHUNK.findall(text)
         new = [c for c in set(chunks) if c not in known]
         if len(known) + len(new) > CACHED_CHUNKS:
             known.clear()
             new = list(set(chunks))
-        known.update(zip(new, map(ids, new)))
+        words = [c for c in new if c[0] == " " < c[1:2] and max(c) < _LATIN_END]
+        known.update(zip(words, fast(words)))
+        known.update((c, whole(c)) for c in new if c not in known)
         return b"".join(map(known.__getitem__, chunks))
 
     return encode

@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docroute.llm.common import Scratch, text_of
+from docroute.llm.common import Scratch, small_batches, text_of
 
 ORDER = 5
 SYMBOLS = 257
@@ -94,6 +95,11 @@ def _chunks(texts: Iterator[bytes], order: int) -> Iterator[Joined]:
         yield Joined(held, order)
 
 
+def _release() -> None:
+    """Give freed memory back, as the worker lives on beside the next task's."""
+    pa.default_memory_pool().release_unused()
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     k, n = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(k)
@@ -132,6 +138,7 @@ def gather(docs: DataFrame, order: int) -> DataFrame:
                     x, y = k[at : at + (1 << 17)], n[at : at + (1 << 17)]
                     columns = [np.full(len(x), kind, np.int32), x, np.full(len(x), split, np.int32), y.astype(np.int64)]
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names)
+        _release()
 
     return docs.select("split", "held_out", "text").mapInArrow(rows, "kind int, key long, split int, n long")
 
@@ -206,7 +213,8 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "ppm")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), text_of().alias("text"), F.spark_partition_id().alias("split"))
     counted = gather(texts, order).groupBy("kind", "key").agg(F.sum("n").alias("n"), F.collect_list("split").alias("splits"))
-    model = scratch.write(counted, "counts")
+    with small_batches(docs.sparkSession):
+        model = scratch.write(counted, "counts")
     words = model.where("kind = 1")
     train, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     grams = probabilities(model.where("kind = 0").select("key", "n", "splits"), scratch, order).withColumn("kind", F.lit(0))
@@ -217,14 +225,13 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
     names = [c.split()[0] for c in schema.split(", ")]
 
     def sorted_values(table: pa.Table, kind: int) -> tuple[_Lookup, np.ndarray]:
-        mine = table["kind"].to_numpy() == kind
-        keys, value = table["key"].to_numpy()[mine], table["value"].to_numpy()[mine]
+        own = table.filter(pc.equal(table["kind"], kind))
+        keys = own["key"].to_numpy()
         by = np.argsort(keys)
-        return _Lookup(keys[by]), value[by]
+        return _Lookup(keys[by]), own["value"].to_numpy()[by]
 
     def rows(texts: pa.Table, table: pa.Table) -> pa.Table:
         (gram_at, gram_value), (word_at, word_count) = sorted_values(table, 0), sorted_values(table, 1)
-        del table
         base = np.log10((word_count + 0.5) / (train + 0.5 * (kinds + 1)))
         end = word_at(np.array([_END_WORD]))[0]
         found: list[list[np.ndarray]] = [[], [], [], []]
@@ -240,4 +247,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
         columns = [texts["doc_id"], texts["held_out"], tokens, known, np.full(len(tokens), train), bases, scores]
         return pa.table([pa.chunked_array([pa.array(c, t)]) if isinstance(c, np.ndarray) else c for c, t in zip(columns, types)], names)
 
-    return texts.groupBy("split").cogroup(values.groupBy("split")).applyInArrow(rows, schema)
+    with small_batches(docs.sparkSession):
+        scored = scratch.write(texts.groupBy("split").cogroup(values.groupBy("split")).applyInArrow(rows, schema), "scored")
+    scratch.drop("counts", "unseen", *(f"order_{k}" for k in range(order)))
+    return scored

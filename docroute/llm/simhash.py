@@ -52,13 +52,16 @@ def fingerprint(data: bytes, width: int = WIDTH) -> int:
     return int(np.packbits(2 * counts > parts, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def fingerprints(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The integer columns `keys`, and the fingerprint of `text`, as `fp`."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py().encode()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], [key, "fp"])
+            found = [fingerprint(t.as_py().encode()) for t in batch.column(len(keys))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(found, pa.int64())], [*keys, "fp"])
 
-    return docs.select(F.col(key).cast("long"), text_of().alias("text")).mapInArrow(rows, f"{key} long, fp long")
+    texts = docs.select(*[F.col(k).cast("long").alias(k) for k in keys], text_of().alias("text"))
+    return texts.mapInArrow(rows, ", ".join(f"{k} long" for k in (*keys, "fp")))
 
 
 def near_pairs(a: np.ndarray, b: np.ndarray, same: bool, bits: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -162,24 +165,31 @@ def links(distinct: DataFrame, budget: int = BUDGET) -> DataFrame:
     return met.mapInArrow(traverse, "a long, b long")
 
 
-def group(docs: DataFrame, key: str = "doc_id", budget: int = BUDGET) -> DataFrame:
-    """(key, fp, component): every row of `docs`, with the smallest key that its fingerprint reaches over links."""
-    scratch = Scratch(docs.sparkSession, "simhash")
-    prints = scratch.write(fingerprints(docs, key), "fingerprints")
-    distinct = scratch.write(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct")
+def _rooted(distinct: DataFrame, scratch: Scratch, budget: int) -> DataFrame:
+    """The distinct fingerprints with `root`, which those of one component share."""
     near = scratch.write(links(distinct, budget), "links")
     roots = components(near, scratch).withColumnRenamed("node", "fp")
-    rooted = scratch.write(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    return distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def group(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """(doc_id, fp, component): every row of `docs`, with the smallest doc_id that its fingerprint reaches over links."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    prints = scratch.write(fingerprints(docs), "fingerprints")
+    distinct = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    rooted = scratch.write(_rooted(distinct, scratch, budget), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return prints.join(rooted.join(least, "root").select("fp", "component"), "fp").select(key, "fp", "component")
+    return prints.join(rooted.join(least, "root").select("fp", "component"), "fp").select("doc_id", "fp", "component")
 
 
 def one_of_each(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """The row with the smallest doc_id of each component (null first, then by a hash of the row); equal rows count once."""
+    """The row with the smallest doc_id of each component (null first, then by a hash of the row); equal rows count once.
+
+    A fingerprint's first row is an aggregate, so no task sees all copies of a text.
+    """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
     tagged = docs.withColumn("_row", row_hash(docs))
-    groups = group(tagged.select("_row", "text"), "_row", budget).distinct()
-    ids = tagged.select("_row", F.col("doc_id").cast("long").alias("_doc"))
-    first = groups.join(ids, "_row").groupBy("component").agg(F.min(F.struct("_doc", "_row")).alias("x")).select("x._row")
-    first = scratch.write(first, "kept")
-    return tagged.join(first, "_row").dropDuplicates(["_row"]).select(*docs.columns)
+    prints = fingerprints(tagged.select("_row", "text", F.col("doc_id").alias("_doc")), ("_doc", "_row"))
+    distinct = scratch.write(prints.groupBy("fp").agg(F.min(F.struct("_doc", "_row")).alias("least")), "distinct")
+    first = _rooted(distinct, scratch, budget).groupBy("root").agg(F.min("least").alias("x")).select("x._row")
+    return tagged.join(scratch.write(first, "kept"), "_row").dropDuplicates(["_row"]).select(*docs.columns)
