@@ -166,6 +166,31 @@ def test_near_passages_with_changed_words(spark):
     assert all(any(s.start <= 90 and s.start + s.n_words >= 135 for s in r.spans) for r in got.values())
 
 
+@pytest.mark.parametrize("n, changed", [(50, ()), (52, ()), (50, (24,)), (50, (11,)), (60, (30,)), (100, (33, 66))])
+def test_short_and_changed_passages_are_all_found(spark, n, changed):
+    rng = random.Random(n + len(changed))
+    fresh = lambda k: [f"v{rng.randrange(10**9)}" for _ in range(k)]
+    texts = []
+    for pair in range(100):
+        own = fresh(n)
+        other = [f"changed{pair}" if k in changed else w for k, w in enumerate(own)]
+        for side, passage in enumerate((own, other)):
+            before = rng.randrange(400 - n)
+            texts.append((2 * pair + side, " ".join(fresh(before) + passage + fresh(400 - n - before))))
+    got = {r.doc_id: r.component_id for r in passages.find(frame(spark, texts)).collect()}
+    assert got == {i: i - i % 2 for i, _ in texts}
+
+
+def test_passages_below_the_similarity_are_none(spark):
+    rng = random.Random(9)
+    fresh = lambda k: [f"v{rng.randrange(10**9)}" for _ in range(k)]
+    texts = []
+    for pair in range(40):
+        own = fresh(30)
+        texts += [(2 * pair + side, " ".join(fresh(100) + own + fresh(100))) for side in range(2)]
+    assert passages.find(frame(spark, texts)).count() == 0
+
+
 def test_passage_cases(spark):
     long = " ".join(f"w{i}" for i in range(80))
     rows = frame(spark, [(1, None), (2, ""), (3, "short text"), (4, long), (4, long), (None, long), (5, "Zed " + long.upper())])
