@@ -181,6 +181,18 @@ def test_short_and_changed_passages_are_all_found(spark, n, changed):
     assert got == {i: i - i % 2 for i, _ in texts}
 
 
+def test_passage_whose_parts_stand_in_others(spark):
+    rng = random.Random(4)
+    fresh = lambda k: [f"v{rng.randrange(10**9)}" for _ in range(k)]
+    texts = []
+    for g in range(30):
+        own = fresh(60)
+        parts = [own[:38], own[22:], own, own[:38], own[22:], own]
+        texts += [(10 * g + i, " ".join(fresh(100) + x + fresh(100))) for i, x in enumerate(parts)]
+    got = {r.doc_id: r.component_id for r in passages.find(frame(spark, texts)).collect()}
+    assert got == {10 * g + i: 10 * g + 2 for g in range(30) for i in (2, 5)}
+
+
 def test_passages_below_the_similarity_are_none(spark):
     rng = random.Random(9)
     fresh = lambda k: [f"v{rng.randrange(10**9)}" for _ in range(k)]
