@@ -7,6 +7,10 @@ once its errors exceed the budget. A fingerprint has at most 2,080 others within
 number of fingerprints, however large a group of copies is: copies of one fingerprint count once. Each task passes on a
 spanning forest of its links, and the components are found from these.
 
+one_of_each() asks for more than a few bits can tell: near copies of five-word similarity SIMILAR differ in ten bits or
+so, which no trie can be searched for. It takes min-hashes of the shingle sets in BANDS bands of ROWS; the texts of one
+band value are paired with the smallest and the largest of them, and the pairs verified on their whole shingle sets.
+
 Cases: a null text is empty; no words give fingerprint zero, linked like any other; one or two words are one shingle; a
 null doc_id takes part but does not name a component unless it is alone; repeated rows share a component; an empty table
 gives no row; other columns are not read.
@@ -23,7 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroute.llm.common import Scratch, components, row_hash, text_of
+from docroute.llm.common import Scratch, components, row_hash, small_batches, text_of
+from docroute.llm.passages import _mixed, runs_of
+from docroute.llm.ppm import _chunks
 
 BUDGET = 2
 WIDTH = 3
@@ -33,6 +39,11 @@ BLOCK, AIM = 1 << 15, 1 << 13
 #: Node pairs that are expanded at once.
 FRONT = 1 << 17
 _SIGN = -(1 << 63)
+#: Words of a shingle, and the similarity of shingle sets, of near copies in one_of_each.
+KEEP_WIDTH, SIMILAR = 5, 0.8
+#: Min-hashes: a pair of similarity 0.8 agrees in one of 16 bands of 4 with a chance of 0.9998.
+BANDS, ROWS = 16, 4
+_MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def fingerprint(data: bytes, width: int = WIDTH) -> int:
@@ -182,14 +193,83 @@ def group(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     return prints.join(rooted.join(least, "root").select("fp", "component"), "fp").select("doc_id", "fp", "component")
 
 
-def one_of_each(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """The row with the smallest doc_id of each component (null first, then by a hash of the row); equal rows count once.
+def shingle_sets(texts: Iterator[bytes]) -> Iterator[np.ndarray]:
+    """The different hashed shingles of each text; fewer words than a shingle has are one."""
+    for part in _chunks(texts, 1):
+        words, text = part.words()
+        words = words.view(np.uint64)
+        bounds = np.searchsorted(text, np.arange(len(part.sizes) + 1))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            yield np.unique(runs_of(words[a:b], min(KEEP_WIDTH, b - a))) if b > a else np.zeros(0, np.uint64)
+
+
+def bands(tokens: np.ndarray) -> np.ndarray:
+    """A number for each band of a set's min-hashes."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(tokens), 1 << 12):
+        np.minimum(least, ((tokens[at : at + (1 << 12), None] ^ _MULTIPLIERS[0]) * _MULTIPLIERS[1]).min(0), out=least)
+    return _mixed((_mixed(least) * _MULTIPLIERS[0]).reshape(BANDS, ROWS).sum(1, dtype=np.uint64))
+
+
+def similar(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets in (fp, tokens) have SIMILAR of all their tokens in common."""
 
-    A fingerprint's first row is an aggregate, so no task sees all copies of a text.
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True)) if SIMILAR * max(len(x), len(y)) <= min(len(x), len(y)) else 0
+                keep.append(both >= SIMILAR * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    for side in "ab":
+        near = near.join(sets.select(F.col("fp").alias(side), F.col("tokens").alias(f"of_{side}")), side)
+    return near.select("a", "b", "of_a", "of_b").mapInArrow(rows, "a long, b long")
+
+
+def near_copies(tagged: DataFrame, distinct: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between the sets in (fp, least, bands), whose texts are those of the rows least._row."""
+    each = distinct.select("fp", F.posexplode("bands").alias("band", "value"))
+    ends = each.groupBy("band", "value").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high")
+    met = each.join(ends, ["band", "value"]).select("fp", F.explode(F.array("low", "high")).alias("other")).where("fp <> other")
+    near = scratch.write(met.select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b")).distinct(), "candidates")
+    needed = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct().join(distinct, "fp").select("fp", "least._row")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = shingle_sets(t.as_py().encode() for t in batch.column(1))
+            sets = [np.unique(x.astype(np.uint32)).tobytes() for x in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["fp", "tokens"])
+
+    texts = tagged.select("_row", text_of().alias("text")).join(needed, "_row").dropDuplicates(["_row"])
+    with small_batches(tagged.sparkSession, 200):
+        sets = scratch.write(texts.select("fp", "text").mapInArrow(rows, "fp long, tokens binary"), "sets")
+        found = scratch.write(similar(near, sets), "links")
+    scratch.drop("candidates", "sets")
+    return found
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The row with the smallest doc_id of each component of near copies (null first, then by a hash of the row); equal rows count once.
+
+    A set's first row is an aggregate, so no task sees all copies of a text.
     """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
     tagged = docs.withColumn("_row", row_hash(docs))
-    prints = fingerprints(tagged.select("_row", "text", F.col("doc_id").alias("_doc")), ("_doc", "_row"))
-    distinct = scratch.write(prints.groupBy("fp").agg(F.min(F.struct("_doc", "_row")).alias("least")), "distinct")
-    first = _rooted(distinct, scratch, budget).groupBy("root").agg(F.min("least").alias("x")).select("x._row")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, found = [], []
+            for tokens in shingle_sets(t.as_py().encode() for t in batch.column(2)):
+                prints.append(int(_mixed(tokens).sum(dtype=np.uint64).view(np.int64)))
+                found.append(bands(tokens).view(np.int64) if len(tokens) else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["_doc", "_row", "fp", "bands"])
+
+    texts = tagged.select(F.col("doc_id").cast("long").alias("_doc"), "_row", text_of().alias("text"))
+    prints = texts.mapInArrow(rows, "_doc long, _row long, fp long, bands array<long>")
+    distinct = scratch.write(prints.groupBy("fp").agg(F.min(F.struct("_doc", "_row")).alias("least"), F.first("bands").alias("bands")), "distinct")
+    roots = components(near_copies(tagged, distinct, scratch), scratch).withColumnRenamed("node", "fp")
+    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = rooted.groupBy("root").agg(F.min("least").alias("x")).select("x._row")
     return tagged.join(scratch.write(first, "kept"), "_row").dropDuplicates(["_row"]).select(*docs.columns)

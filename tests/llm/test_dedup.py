@@ -84,6 +84,24 @@ def test_simhash_cases(spark):
     assert simhash.group(rows.limit(0)).count() == 0 and simhash.one_of_each(rows.limit(0)).count() == 0
 
 
+def test_one_of_each_finds_near_copies_of_five_word_similarity(spark):
+    rng = random.Random(6)
+    fresh = lambda k: [f"v{rng.randrange(10**9)}" for _ in range(k)]
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    texts, near, apart = [], set(), set()
+    for pair in range(300):
+        a = fresh((100, 300, 1000)[pair % 3])
+        b = list(a)
+        for k in rng.sample(range(len(b)), max(1, int(len(b) * rng.random() * 0.05))):
+            b[k] = f"x{rng.randrange(10**9)}"
+        like = len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+        (near if like >= 0.8 else apart).add(pair)
+        texts += [(2 * pair, " ".join(a)), (2 * pair + 1, " ".join(b).upper())]
+    got = {r.doc_id for r in simhash.one_of_each(frame(spark, texts)).collect()}
+    assert len(near) > 100 and len(apart) > 30 and {2 * p for p in near | apart} <= got
+    assert {p for p in near if 2 * p + 1 in got} == set() and {p for p in apart if 2 * p + 1 not in got} == set()
+
+
 def test_components_of_random_graphs(spark, tmp_path):
     rng = random.Random(5)
     near = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5000, 5001 + i) for i in range(50)]
