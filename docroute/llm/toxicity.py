@@ -7,8 +7,10 @@ can weigh more than either.
 
 It is fitted on at most SAMPLE labelled documents (those of the smallest hashes, half of them toxic where there are as
 many), on the log loss, with weights that stay 0 until the evidence passes a floor, in one task: the sample and the tables are of fixed size. A first fit on whole
-documents picks each toxic document's worst piece; the next ones learn from those pieces. A line through the sampled
-documents' margins then turns a margin into a chance.
+documents picks each toxic document's worst piece; the next ones learn from those pieces. Every piece is read; those of
+a long document weigh as much as PIECES together. A line through the sampled documents' margins then turns a margin into
+a chance; each class weighs there as many times as its labels were sampled, so chances follow the class share of all
+labels, not that of the sample.
 
 Cases: null and empty texts are scored from the bias alone; a null doc_id counts as '' for the fold; a document with
 several labels is toxic if one of them is; without labels every score is 0.5; repeated rows are scored each; an empty
@@ -31,6 +33,8 @@ SAMPLE = 8_000
 #: Sampled documents that a term is in at least; others are no evidence and not read.
 LEAST = 5
 WINDOW, STEP = 128, 96
+#: Pieces that those of a longer document weigh as much as.
+PIECES = 8
 EPOCHS = 4
 #: Steps of weights and factors, the sum of slopes below which a term's weight stays 0, and the factors' shrinkage.
 RATE, FACTOR_RATE, FLOOR, DECAY = 0.3, 0.03, 4.0, 1e-3
@@ -67,13 +71,15 @@ class Machine:
     def chances(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
-    def calibrate(self, margins: np.ndarray, labels: np.ndarray) -> None:
-        """Slope and shift by Newton's steps on the log loss, with a little shrinkage."""
+    def calibrate(self, margins: np.ndarray, labels: np.ndarray, stands_for: tuple[float, float] = (1.0, 1.0)) -> None:
+        """Slope and shift by Newton's steps on the log loss, with a little shrinkage; a document of class y counts stands_for[y] times."""
+        times = np.where(np.asarray(labels) > 0, stands_for[1], stands_for[0])
+        times = times * len(times) / times.sum()  # the sample's size is what the evidence is
         x, at = np.stack((margins, np.ones(len(margins))), 1), np.array([1.0, 0.0])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
-            gradient = x.T @ (p - labels) + 0.1 * (at - [1.0, 0.0])
-            at = at - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2), gradient)
+            gradient = x.T @ (times * (p - labels)) + 0.1 * (at - [1.0, 0.0])
+            at = at - np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2), gradient)
         self.slope, self.shift = map(float, at)
 
     def margins(self, sets: list[np.ndarray]) -> np.ndarray:
@@ -89,7 +95,8 @@ class Machine:
             out[some] += np.add.reduceat(self.weight[terms], at) + ((total**2 - squares).sum(1) / (2 * n))
         return out
 
-    def fit(self, sets: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batch: int = 16) -> None:
+    def fit(self, sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray | None = None, epochs: int = EPOCHS, batch: int = 16) -> None:
+        weights = np.ones(len(sets)) if weights is None else weights
         rng = np.random.default_rng(SEED)
         gw, z, gv, gb = np.zeros(self.weight.shape), np.zeros(self.weight.shape), np.full(self.factor.shape, 1e-6, np.float32), 1e-6
         for _ in range(epochs):
@@ -97,7 +104,7 @@ class Machine:
             for s in range(0, len(order), batch):
                 some = order[s : s + batch]
                 own = [sets[i] for i in some]
-                slope = 1 / (1 + np.exp(-self.margins(own))) - labels[some]
+                slope = (1 / (1 + np.exp(-self.margins(own))) - labels[some]) * weights[some]
                 gb += float((slope.mean()) ** 2)
                 self.bias -= RATE * float(slope.mean()) / gb**0.5
                 sizes = np.array([len(x) for x in own])
@@ -123,7 +130,7 @@ class Machine:
                 self.weight[ids] = -past * RATE / (1 + np.sqrt(grown))
 
 
-def train(texts: list[str], labels: np.ndarray, rounds: int = 3) -> Machine:
+def train(texts: list[str], labels: np.ndarray, rounds: int = 3, stands_for: tuple[float, float] = (1.0, 1.0)) -> Machine:
     """First on all pieces of clean documents and all of toxic ones, then on the worst piece of each toxic one."""
     parts = [pieces(t) for t in texts]
     times = np.zeros(1 << BITS, np.int64)
@@ -133,19 +140,18 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 3) -> Machine:
     machine = Machine()
     machine.factor[times < LEAST] = 0
     for again in range(rounds):
-        sets, y = [], []
+        sets, y, weights = [], [], []
         for own, label in zip(parts, labels):
             if label and again:
                 own = [own[int(np.argmax(machine.margins(own)))]]
-            elif len(own) > 8:
-                own = own[:: len(own) // 8]
             sets += own
             y += [label] * len(own)
+            weights += [min(1.0, PIECES / len(own))] * len(own)
         if again:
             machine = Machine()
             machine.factor[times < LEAST] = 0
-        machine.fit(sets, np.array(y, float))
-    machine.calibrate(np.array([machine.worst(own) for own in parts]), labels)
+        machine.fit(sets, np.array(y, float), np.array(weights))
+    machine.calibrate(np.array([machine.worst(own) for own in parts]), labels, stands_for)
     return machine
 
 
@@ -154,13 +160,16 @@ def model(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPL
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     ids = known.where(learn).withColumn("order", F.xxhash64("doc_id"))
     chosen = [r for y in (1, 0) for r in ids.where(F.col("toxic") == y).orderBy("order", "doc_id").limit(sample // 2).collect()]
+    total = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
+    taken = {y: sum(r["toxic"] == y for r in chosen) for y in (0, 1)}
+    stands_for = tuple(total.get(y, 0) / max(1, taken[y]) for y in (0, 1))
     spark = docs.sparkSession
     few = spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in chosen], "doc_id long, toxic int")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(few), "doc_id")
 
     def fit(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("order", "ascending"), ("text", "ascending")])
-        got = train(table["text"].to_pylist(), table["toxic"].to_numpy())
+        got = train(table["text"].to_pylist(), table["toxic"].to_numpy(), stands_for=stands_for)
         numbers = [pa.array([x], pa.float64()) for x in (got.bias, got.slope, got.shift)]
         tables = [pa.array([x.tobytes()], pa.binary()) for x in (got.weight, got.factor)]
         return pa.table([*numbers, *tables], ["bias", "slope", "shift", "weight", "factor"])

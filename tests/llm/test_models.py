@@ -139,6 +139,30 @@ def test_the_machine_learns_a_pair(spark):
     assert np.mean((chance >= 0.5) == np.array(labels)) > 0.97
 
 
+def test_chances_follow_the_share_of_all_labels(spark):
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(4000):
+        toxic = int(rng.random() < 0.05)
+        bad = rng.random() < (0.7 if toxic else 0.2)
+        rows.append((i, " ".join([f"w{rng.randrange(12)}" for _ in range(6)] + ["bad"] * bad)))
+        labels.append((i, toxic))
+    docs = frame(spark, rows)
+    machine = toxicity.model(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True), sample=300)
+    mean = toxicity.score(docs, machine).agg(F.avg("score")).first()[0]
+    assert abs(mean - np.mean([y for _, y in labels])) < 0.02
+
+
+def test_every_piece_of_a_clean_text_is_learned_from(monkeypatch):
+    seen = []
+    fit = toxicity.Machine.fit
+    monkeypatch.setattr(toxicity.Machine, "fit", lambda self, sets, *rest: (seen.append(len(sets)), fit(self, sets, *rest))[1])
+    texts = [" ".join(f"w{k % 50}" for k in range(96 * 20))] * 6
+    toxicity.train(texts, np.array([0, 0, 0, 0, 0, 1]))
+    n = len(toxicity.pieces(texts[0]))
+    assert n > 16 and seen == [6 * n, 5 * n + 1, 5 * n + 1]
+
+
 def test_toxicity_cases(spark):
     docs = frame(spark, [(1, None), (2, ""), (None, "a b"), (3, "c"), (3, "c"), (4, "word " * 30_000)])
     labels = spark.createDataFrame([(1, 1), (None, 1), (9, 0)], "doc_id long, toxic int")
