@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.common import load
-from docroute.llm import ann, chat, linededup, mixing, passages, ppm, repetition, simhash, toxicity
+from docroute.llm import ann, centroids, chat, linededup, mixing, passages, pieces, ppm, repetition, simhash, toxicity, whitening
 from docroute.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,33 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     taken, _ = mixing.mix(load(spark, sf_dir, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def pieces_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and their decoding, as digests."""
+    found = pieces.encode(load(spark, sf_dir, "documents"), pieces_path())
+    n = (F.octet_length("ids") / 4).cast("long")
+    return found.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's first eight whitened components; `deviation` is null where a long cannot hold `deviation_text`."""
+    found = whitening.whiten(load(spark, sf_dir, "embeddings"))
+    each = found.select("vec_id", "n", F.col("deviation").alias("deviation_text"), F.posexplode(F.arrays_zip("whitened", "explained")).alias("k", "z"), "identity_error")
+    return each.select(
+        "vec_id", (F.col("k") + 1).cast("int").alias("component"), "n", F.col("deviation_text").try_cast("long").alias("deviation"), "z.whitened", "z.explained", "identity_error", "deviation_text")
+
+
+@query("op13_centroids", centroids.oracle_sql())
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after three rounds from sixteen chosen vectors."""
+    found = centroids.with_inertia(*centroids.cluster(load(spark, sf_dir, "embeddings")))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

@@ -29,7 +29,7 @@ def rounded(rows):
 def test_query_equals_its_sql(spark, sf, name):
     got = queries.QUERIES[name](spark, sf)
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES[name]})").fetchall()
     assert rounded(map(tuple, got.collect())) == rounded(want)
