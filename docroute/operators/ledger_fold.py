@@ -2,33 +2,52 @@
 
 Operations: arrive (with plan, invoice, cents, domain), to_ap, archive, override. Each one sees the ledger as all
 earlier ones left it; a skipped duplicate adds nothing, so its own hash and key stay free. Written as a sequence
-this is one long fold. Here it runs in rounds over all operations at once:
+this is one long fold.
 
-* An operation that cannot change which row answers for a hash or key ("light": a repeat of a live row, a stage
-  step of a live row, a repeat under a key whose live row stays put) is decided together with all others like it,
-  as far as no open operation before it can change the row it meets.
-* Of the rest, the first one per hash is carried out when no open operation before it touches its keys. Such
-  operations touch disjoint hashes and keys, so a round may carry out all of them.
+Two operations can matter to each other only when hashes and keys link them, so the log falls apart into the connected
+components of the links (hash, key) of its arrivals and of the ledger rows it touches:
+
+* Small components are replayed all at once, in one pass over partitions sorted by (component, order); a task holds the
+  ledger rows of one component at a time. Their number, and the length of their chains, cost no rounds.
+* What is left, if anything, is one or a few giant components. They advance by a round over all their operations:
+  an operation that cannot change which row answers for a hash or key ("light": a repeat of a live row, a stage step
+  of a live row, a repeat under a key whose live row stays put) is decided together with all others like it, as far as
+  no open operation before it can change the row it meets; of the rest, the first one per hash is carried out when no
+  open operation before it touches its keys. Such operations touch disjoint hashes and keys, so a round may carry out
+  all of them. The rows that they leave are carried on; rows that no open operation can meet are let go. Then the
+  components of what is open are taken again.
 
 The earliest open operation always qualifies, so the rounds end, and the result is exactly the sequential one. Only
-aggregates and equi-joins are used; repeats of one hot hash or key are settled in bulk, however many there are.
+aggregates, equi-joins and that pass are used; repeats of one hot hash or key are settled in bulk, however many there are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import text as t
+from docroute.operators.components import connected
 from docroute.operators.dedupe import LEDGER_COLUMNS, checked_stage, semantic_key
 from docroute.session import checkpointed
 
 # The stage each operation sets.
 STAGE_OF = {"arrive": "manager_queue", "to_ap": "ap_queue", "archive": "archived", "override": "overridden"}
 
+#: A component of up to this many operations and rows is replayed in one task.
+SMALL = 1 << 16
+
 _STATE = ["sha256", "pos", "ins", "row_key", "st"]
+_OPS = ["seq", "sha256", "op", "key"]
+_DONE = pa.schema([
+    ("seq", pa.int64()), ("sha256", pa.string()), ("op", pa.string()), ("outcome", pa.string()), ("target", pa.string()), ("target_ins", pa.int64()),
+    ("first_pos", pa.int64()), ("superseded", pa.string()), ("superseded_ins", pa.int64()),
+])
+_DONE_DDL = ", ".join(f"{f.name} {'bigint' if f.type == pa.int64() else 'string'}" for f in _DONE)
 
 
 def _state_of(ledger: DataFrame) -> DataFrame:
@@ -36,7 +55,7 @@ def _state_of(ledger: DataFrame) -> DataFrame:
     return ledger.select("sha256", "pos", F.lit(-1).cast("long").alias("ins"), semantic_key(F.col("pos")).alias("row_key"), st.alias("st"))
 
 
-def decide(ops: DataFrame, ledger: DataFrame) -> DataFrame:
+def decide(ops: DataFrame, ledger: DataFrame, small: int = SMALL) -> DataFrame:
     """Outcome of every operation.
 
     ops: seq (unique, after every ledger `pos`), sha256, op, plan_norm, invoice_number, amount_cents, sender_domain.
@@ -45,28 +64,120 @@ def decide(ops: DataFrame, ledger: DataFrame) -> DataFrame:
     """
     key = F.when(F.col("op") == "arrive", semantic_key(F.col("seq"))).otherwise(F.concat(F.lit("\x02"), F.col("seq").cast("string")))
     todo = checkpointed(ops.select("seq", "sha256", "op", key.alias("key")))
-    base = _state_of(ledger)
-    hashes, keys = todo.select("sha256").distinct(), todo.select(F.col("key").alias("row_key")).distinct()
-    by_key = base.join(keys, "row_key", "left_semi").select(*_STATE)
-    base = checkpointed(by_key.unionByName(base.join(hashes, "sha256", "left_semi").select(*_STATE)).distinct().withColumn("round", F.lit(0)))
-    deltas: list[DataFrame] = []
+    state = _met(_state_of(ledger), todo)
     settled: list[DataFrame] = []
-    while True:
-        state = _latest(base, deltas)
+    n_open, n_split = todo.count(), 0
+    while n_open:
+        if not n_split or n_open <= n_split // 2:  # taken again when half of the operations are settled
+            replayed, todo, state = _replay_small(todo, state, small)
+            settled.append(replayed)
+            n_open = n_split = todo.count()
+            if not n_open:
+                break
         seen = checkpointed(_look(todo, state))
         settled.append(_light(seen))
-        if seen.where("seq >= first_hard").isEmpty():
-            break
         ready = checkpointed(_ready(seen))
         settled.append(_outcomes(ready))
-        deltas.append(_delta(ready, len(deltas) + 1))
-        todo = seen.where("seq >= first_hard").join(ready.select("seq"), "seq", "left_anti").select("seq", "sha256", "op", "key")
+        delta = _delta(ready)
+        todo = checkpointed(seen.where("seq >= first_hard").join(ready.select("seq"), "seq", "left_anti").select(*_OPS))
+        state = _met(state.join(delta.select("sha256"), "sha256", "left_anti").unionByName(delta), todo)
+        n_open = todo.count()
+    if not settled:
+        return todo.sparkSession.createDataFrame([], _DONE_DDL)
     return reduce(DataFrame.unionByName, settled)
 
 
-def _latest(base: DataFrame, deltas: list[DataFrame]) -> DataFrame:
-    rows = reduce(DataFrame.unionByName, deltas, base)
-    return rows.groupBy("sha256").agg(F.max_by(F.struct("pos", "ins", "row_key", "st"), "round").alias("r")).select("sha256", "r.*")
+def _met(state: DataFrame, todo: DataFrame) -> DataFrame:
+    """The rows that an open operation can meet, by hash or by key."""
+    by_key = state.join(todo.select(F.col("key").alias("row_key")).distinct(), "row_key", "left_semi").select(*_STATE)
+    by_hash = state.join(todo.select("sha256").distinct(), "sha256", "left_semi").select(*_STATE)
+    return checkpointed(by_key.unionByName(by_hash).distinct())
+
+
+def _node(c: str) -> Column:
+    """A number for a hash; should two share one, their components are taken as one, and the result stays right."""
+    return F.xxhash64(c)
+
+
+def _replay_small(todo: DataFrame, state: DataFrame, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(outcomes of the small components, operations and rows of the others)."""
+    pairs = todo.select("sha256", "key").unionByName(state.select("sha256", F.col("row_key").alias("key")))
+    links = pairs.where(~F.col("key").startswith("\x02")).select(_node("sha256").alias("a"), F.xxhash64(F.lit("key"), "key").alias("b"))
+    roots = connected(links)
+    placed = lambda df: df.withColumn("node", _node("sha256")).join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("node", "root")
+    todo, state = checkpointed(placed(todo)), checkpointed(placed(state))
+    rows = state.groupBy("component").agg(F.count("*").alias("n_rows"))
+    sizes = todo.groupBy("component").agg(F.count("*").alias("n")).join(rows, "component", "left")
+    met = F.col("n") + F.coalesce("n_rows", F.lit(0))
+    large = checkpointed(sizes.where(met > small).select("component"))
+    none = F.lit(None)
+    sorted_ = todo.select("component", "seq", none.cast("long").alias("pos"), "sha256", "op", "key", none.cast("long").alias("ins"), none.cast("string").alias("st")).unionByName(
+        state.select("component", F.lit(-1).cast("long").alias("seq"), "pos", "sha256", none.cast("string").alias("op"), F.col("row_key").alias("key"), "ins", "st"))
+    # The number of tasks is set: little data, but all the work, so tasks are not to be drawn together.
+    n = int(todo.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = sorted_.join(large, "component", "left_anti").repartition(n, "component").sortWithinPartitions("component", "seq", "pos")
+    done = _replay(sorted_.select("component", "seq", "pos", "sha256", "op", "key", "ins", "st"))
+    rest = todo.join(large, "component", "left_semi").select(*_OPS)
+    return checkpointed(done), checkpointed(rest), checkpointed(state.join(large, "component", "left_semi").select(*_STATE))
+
+
+def _replay(rows: DataFrame) -> DataFrame:
+    """The outcomes of whole components, each in order after the ledger rows it meets, one pass over sorted partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ledger = None, _Rows()
+        for batch in batches:
+            done = []
+            for component, seq, pos, sha, op, key, ins, st in zip(*(c.to_pylist() for c in batch.columns)):
+                if component != now:
+                    now, ledger = component, _Rows()
+                if seq < 0:
+                    ledger.put(sha, pos, ins, key, st)
+                else:
+                    done.append((seq, sha, op, *ledger.apply(seq, sha, op, key)))
+            columns = zip(*done) if done else [()] * len(_DONE.names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _DONE)], _DONE.names)
+
+    return rows.mapInArrow(run, _DONE_DDL)
+
+
+class _Rows:
+    """The ledger rows of one component while its operations are replayed."""
+
+    def __init__(self):
+        self.by_hash: dict[str, tuple] = {}
+        self.by_key: dict[str, set[str]] = {}
+
+    def put(self, sha: str, pos: int, ins: int, key: str, st: str) -> None:
+        if sha in self.by_hash:
+            self.by_key[self.by_hash[sha][2]].discard(sha)
+        self.by_hash[sha] = (pos, ins, key, st)
+        self.by_key.setdefault(key, set()).add(sha)
+
+    def first(self, key: str, st: str) -> str | None:
+        """The earliest row of a key in this state."""
+        held = [(self.by_hash[s][0], s) for s in self.by_key.get(key, ()) if self.by_hash[s][3] == st]
+        return min(held)[1] if held else None
+
+    def apply(self, seq: int, sha: str, op: str, key: str) -> tuple:
+        """outcome, target, target_ins, first_pos, superseded, superseded_ins."""
+        own = self.by_hash.get(sha)
+        if op != "arrive":
+            if own is None:
+                return "unknown", None, None, None, None, None
+            self.put(sha, *own[:3], "overridden" if op == "override" else "live")
+            return "staged", sha, own[1], None, None, None
+        hit = sha if own is not None and own[3] != "overridden" else self.first(key, "live")
+        if hit is not None:
+            return "duplicate", hit, self.by_hash[hit][1], None, None, None
+        gone = self.first(key, "overridden") if own is None else None
+        gone_ins = None
+        if gone is not None:
+            pos, gone_ins, *_ = self.by_hash[gone]
+            self.put(gone, pos, gone_ins, key, "superseded")
+        first = seq if own is None else own[0]
+        self.put(sha, first, seq, key, "live")
+        return "inserted", sha, seq, first, gone, gone_ins
 
 
 def _look(todo: DataFrame, state: DataFrame) -> DataFrame:
@@ -141,7 +252,7 @@ def _ready(seen: DataFrame) -> DataFrame:
     return head.join(own, "key").join(row, "k2", "left").where("t1 = seq and (row_key is null or t2 = seq)").select(*seen.columns)
 
 
-def _delta(ready: DataFrame, number: int) -> DataFrame:
+def _delta(ready: DataFrame) -> DataFrame:
     """Rows written by the operations carried out: a projection of what they had in hand."""
     d = _decided(ready)
     rows = d.where("outcome in ('inserted', 'staged')").select(
@@ -150,7 +261,7 @@ def _delta(ready: DataFrame, number: int) -> DataFrame:
         F.when(F.col("op") == "override", "overridden").otherwise("live").alias("st"))
     retired = d.where("outcome = 'inserted' and st is null and over_row is not null").select(
         F.col("over_row.sha256").alias("sha256"), F.col("over_row.pos").alias("pos"), F.col("over_row.ins").alias("ins"), F.col("key").alias("row_key"), F.lit("superseded").alias("st"))
-    return rows.unionByName(retired).withColumn("round", F.lit(number))
+    return rows.unionByName(retired)
 
 
 def apply(ledger: DataFrame, ops: DataFrame, outcomes: DataFrame) -> DataFrame:

@@ -57,7 +57,9 @@ def expand(sql: str) -> str:
     visit(sql)
     if not done:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in done) + "\n" + sql
+    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in done)
+    own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", sql)  # a query with common tables of its own
+    return f"WITH {own[1] or ''}{ctes},\n{sql[own.end():]}" if own else f"WITH {ctes}\n{sql}"
 
 
 # ---- SQL spellings of the scalar rules, written for DuckDB

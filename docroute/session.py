@@ -25,13 +25,15 @@ def build_session(app: str = "docroute", master: str | None = None, shuffle: int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: `spark.checkpoint.dir`; where that is unset, as in tests, a folder of our own."""
+    """The folder every executor sees, named by `spark.checkpoint.dir`; where that is unset, in one process, a folder of our own."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         configured = tempfile.mkdtemp(prefix="docroute-ckpt-")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()

@@ -53,26 +53,53 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
-class VersionedTable:
-    """Write the next version beside the current one, then switch the pointer; readers never see half a table."""
+class BucketedLedger:
+    """The ledger in folders by a bucket of its hash; a batch rewrites the buckets it touches and no other.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    A batch's new buckets are first written apart, under the batch's number; once that write is whole (Spark's own
+    `_SUCCESS` file says so) they replace the old ones by dynamic partition overwrite. A batch that comes again after a
+    crash finds them and only replaces again, which gives the same rows; an older batch is passed over. Hashes are
+    spread evenly, so a batch of a few hashes for each bucket touches all of them: choose more buckets than that.
+    """
 
-    def version(self) -> int:
-        """The newest version whose write finished (its pointer exists); -1 when there is none."""
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+
+    def bucket(self, sha: str = "sha256") -> Column:
+        return F.pmod(F.xxhash64(sha), F.lit(self.buckets)).cast("int")
+
+    def _exists(self, name: str) -> bool:
         fs, hpath = _fs(self.spark, self.path)
-        root = hpath(f"{self.path}/_current")
-        if not fs.exists(root):
-            return -1
-        return max((int(s.getPath().getName()) for s in fs.listStatus(root)), default=-1)
+        return fs.exists(hpath(f"{self.path}/{name}"))
 
-    def read(self) -> DataFrame | None:
-        v = self.version()
-        return None if v < 0 else self.spark.read.parquet(f"{self.path}/v{v}")
+    def last_batch(self) -> int:
+        """The newest batch whose buckets were written whole; -1 when there is none."""
+        fs, hpath = _fs(self.spark, self.path)
+        root = hpath(f"{self.path}/batches")
+        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        return max((int(n) for n in names if self._exists(f"batches/{n}/_SUCCESS")), default=-1)
 
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}")
+    def read(self) -> DataFrame | None:
+        """The ledger, with its `bucket`."""
+        return self.spark.read.schema(self.schema()).parquet(f"{self.path}/rows") if self._exists("rows") else None
+
+    @staticmethod
+    def schema() -> str:
+        types = {"amount_cents": "long", "dup_count": "long"}
+        return ", ".join(["pos long"] + [f"{c} {types.get(c, 'string')}" for c in LEDGER_COLUMNS] + ["bucket int"])
+
+    def replace(self, rows: DataFrame, batch: int) -> None:
+        """Put `rows`, the whole content of the buckets they lie in, in place of those buckets."""
+        staged = f"{self.path}/batches/{batch}"
+        rows.withColumn("bucket", self.bucket()).write.mode("overwrite").parquet(staged)
+        self.put(batch)
+
+    def put(self, batch: int) -> None:
+        """Replace the buckets of a batch that was written whole; doing it again changes nothing."""
+        staged = self.spark.read.schema(self.schema()).parquet(f"{self.path}/batches/{batch}")
+        # one file a bucket
+        staged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.path}/rows")
         fs, hpath = _fs(self.spark, self.path)
-        fs.mkdirs(hpath(f"{self.path}/_current"))
-        fs.create(hpath(f"{self.path}/_current/{version}"), True).close()
+        for status in fs.listStatus(hpath(f"{self.path}/batches")):
+            if int(status.getPath().getName()) < batch:
+                fs.delete(status.getPath(), True)

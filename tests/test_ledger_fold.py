@@ -1,4 +1,4 @@
-"""The rounds of the ledger fold against a plain sequential fold."""
+"""The ledger fold, by components and by rounds, against a plain sequential fold."""
 
 import datetime as dt
 import random
@@ -65,8 +65,10 @@ def make_ops(rng, n, n_sha, n_key, hot=0.0):
     return ops
 
 
-@pytest.mark.parametrize("seed,n,n_sha,n_key,hot", [(1, 80, 12, 4, 0.0), (3, 60, 5, 6, 0.34)])
-def test_rounds_equal_sequence(spark, seed, n, n_sha, n_key, hot):
+@pytest.mark.parametrize("seed,n,n_sha,n_key,hot,small", [(1, 24, 6, 3, 0.0, 0), (4, 60, 30, 20, 0.34, 24), (5, 300, 60, 30, 0.1, lf.SMALL)])
+def test_fold_equals_sequence(spark, monkeypatch, seed, n, n_sha, n_key, hot, small):
+    """small = 0: rounds alone; 24: the giant component by rounds until it falls apart; SMALL: replay alone."""
+    monkeypatch.setattr(lf.decide, "__defaults__", (small,))
     ops = make_ops(random.Random(seed), n, n_sha, n_key, hot)
     df = spark.createDataFrame([tuple(o.values()) for o in ops], SCHEMA)
     outcomes, after = lf.fold(lf.empty_ledger(df), df)
