@@ -12,6 +12,7 @@ from docroute.session import checkpointed
 EXACT, SUFFIX_DROPPED, SHARED_MANAGER, BY_NAME = 10, 9, 7, 6  # fixed scoring weights
 LEAD = 3
 NAME_WORD, NAME_CAP, NAME_MIN = 3, 12, 6
+GRAM, DIGITS = 4, 5  # fixed: shortest name word, most digits of a code
 
 
 # ---- subjects and bodies
@@ -186,34 +187,84 @@ def _code_index(plans: DataFrame) -> DataFrame:
     return own.join(variant, "code", "full_outer").join(shared, "code", "left")
 
 
-def _name_fallback(numbers: DataFrame, texts: DataFrame, plans: DataFrame, key: str) -> DataFrame:
-    """W7 candidates: per (document, number) the plan whose name words fit the text clearly best."""
+def _parts(number: Column, shorter: bool = False) -> Column:
+    """Every run of digits inside a number, up to the length a number can have."""
+    n = F.length(number)
+    most = lambda i: F.least(F.lit(DIGITS), n - i + 1)
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), most(i)), lambda k: F.substring(number, i, k))))
+    return F.array_distinct(F.filter(parts, lambda x: F.length(x) < n) if shorter else parts)
+
+
+def _long_words(text: Column) -> Column:
+    return F.filter(F.split(text, "[^A-Z0-9]+"), lambda w: F.length(w) >= GRAM)
+
+
+def _words_inside(words: DataFrame, names: DataFrame) -> DataFrame:
+    """(word, name_word): the name words that are substrings of a text word, through an index of runs of four characters.
+
+    A name word is looked up by its first four characters among those of every text word, and compared with the words
+    met; each distinct word is looked at once, however many texts hold it.
+    """
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("word") - (GRAM - 1)), lambda i: F.substring(F.col("word"), i, F.lit(GRAM))))
+    index = words.select("word").distinct().select("word", F.explode(grams).alias("gram"))
+    return index.join(names.select("name_word", F.substring("name_word", 1, GRAM).alias("gram")), "gram").where(F.col("word").contains(F.col("name_word"))).select("word", "name_word").distinct()
+
+
+def _name_fallback(open_: DataFrame, docs: DataFrame, plans: DataFrame, key: str, text: str) -> DataFrame:
+    """Per open (document, number) the plan whose name words fit the text clearly best, with the number's place.
+
+    Name words and text words are runs of letters and digits, so a name word inside a text is inside one of its words:
+    only (document, distinct word) rows leave the scan, no text does. A number in very many documents is split by the
+    adaptive join, since the plans of one number are few.
+    """
     # One candidate per plan; a plan listed on several rows ties with itself, and a tie is no clear win.
     cand = dimension.coded(plans).groupBy("num", "plan_norm").agg(F.min_by("strata_name", "row_no").alias("strata_name"), F.min("row_no").alias("row_no"), (F.count("*") > 1).alias("repeated"))
-    words = F.filter(F.split(F.upper(t.blank("strata_name")), "[^A-Z0-9]+"), lambda w: F.length(w) >= 4)
-    hits = F.size(F.filter(words, lambda w: F.col("text_up").contains(w)))
+    cand = cand.join(open_.select("num").distinct(), "num", "left_semi")
+    # A word that a name repeats counts again.
+    named = cand.select("num", "plan_norm", "row_no", "repeated", F.explode(_long_words(F.upper(t.blank("strata_name")))).alias("name_word")).groupBy("num", "plan_norm", "row_no", "repeated", "name_word").agg(F.count("*").alias("times"))
+    named = checkpointed(named)
+    words = docs.select(key, F.array_distinct(_long_words(matchable(F.col(text)))).alias("words")).join(open_.select(key).distinct(), key, "left_semi")
+    words = checkpointed(words.select(key, F.explode("words").alias("word")).distinct())
+    found = words.join(_words_inside(words, named.select("name_word").distinct()), "word").select(key, "name_word").distinct()
     scored = (
-        numbers.join(texts, key)
-        .join(cand, "num")
-        .select(key, "num", "plan_norm", "row_no", "repeated", F.least(F.lit(NAME_CAP), hits * NAME_WORD).alias("name_score"))
-        .where("name_score > 0")
+        open_.select(key, "num", F.col("pos").alias("at")).join(named, "num").join(found, [key, "name_word"])
+        .groupBy(key, "num", "at", "plan_norm", "row_no", "repeated").agg(F.least(F.lit(NAME_CAP), F.sum("times") * NAME_WORD).alias("name_score"))
     )
     w = Window.partitionBy(key, "num").orderBy(F.desc("name_score"), "row_no")
     top2 = scored.withColumn("rn", F.row_number().over(w)).where("rn <= 2")
     best = top2.groupBy(key, "num").agg(
         F.max(F.when(F.col("rn") == 1, F.col("name_score"))).alias("s1"), F.max(F.when((F.col("rn") == 2) | F.col("repeated"), F.col("name_score"))).alias("s2"),
-        F.max(F.when(F.col("rn") == 1, F.col("plan_norm"))).alias("winner"),
+        F.max(F.when(F.col("rn") == 1, F.col("plan_norm"))).alias("winner"), F.min("at").alias("pos"),
     )
-    return best.where((F.col("s1") >= NAME_MIN) & (F.col("s2").isNull() | (F.col("s1") >= F.col("s2") + LEAD))).select(key, "num", "winner")
+    return best.where((F.col("s1") >= NAME_MIN) & (F.col("s2").isNull() | (F.col("s1") >= F.col("s2") + LEAD))).select(key, "num", "pos", "winner")
+
+
+def _in_turn(won: DataFrame, key: str) -> DataFrame:
+    """Numbers are taken in order of first appearance: one inside the number of a plan added before adds none.
+
+    Only a longer number can hold a shorter one, so the numbers are settled by falling length, in as many steps as a
+    number has digits, and in none where no number of a text lies in another.
+    """
+    won = checkpointed(won)
+    inner = won.select(key, F.col("num").alias("by"), F.col("pos").alias("by_pos"), F.explode(_parts(F.col("num"), True)).alias("num"))
+    within = checkpointed(inner.join(won.select(key, "num", "pos"), [key, "num"]).where("by_pos < pos").select(key, "num", "by"))
+    if within.isEmpty():
+        return won
+    added = won.where(F.length("num") == DIGITS)
+    for n in range(DIGITS - 1, 0, -1):
+        held = within.join(added.select(key, F.col("num").alias("by")), [key, "by"], "left_semi").select(key, "num").distinct()
+        added = checkpointed(added.unionByName(won.where(F.length("num") == n).join(held, [key, "num"], "left_anti")))
+    return added
 
 
 def match_texts(scanned: DataFrame, plans: DataFrame, docs: DataFrame | None = None, key: str = "sha256", text: str = "content_text") -> DataFrame:
     """One row per document with the plan its text names, or why none was picked.
 
-    `docs` (key, text) is read again only for numbers that no scored plan explains (W7); pass None to leave
-    the name fallback out.
+    Scores are sums per (document, plan) and the margin comes from a document's two best rows, so a text may hold any
+    number of codes. `docs` (key, text) is read again only for the words of documents with a number that no scored plan
+    explains (W7); pass None to leave the name fallback out.
     """
-    idx = _code_index(plans)
+    idx = checkpointed(_code_index(plans))
     tok = text_tokens(scanned, plans, key)
     base = F.regexp_replace("token", r"^([A-Z]{2,6}\d{1,5})[A-Z]{1,3}$", "$1")
     own = idx.select(F.col("code").alias("token"), F.col("own_row").isNotNull().alias("is_plan"), F.coalesce("shared", F.lit(False)).alias("is_shared"))
@@ -224,46 +275,28 @@ def match_texts(scanned: DataFrame, plans: DataFrame, docs: DataFrame | None = N
         .when(F.col("base_is_plan"), F.struct(F.col("tok_base").alias("plan"), F.lit(SUFFIX_DROPPED).alias("w")))
         .when(F.col("tok_base").isNull() & F.col("is_shared"), F.struct(F.col("token").alias("plan"), F.lit(SHARED_MANAGER).alias("w")))
     )
-    item = F.struct("pos", "token", "cnt", "num", plan_hit.alias("hit"))
-    per_doc = scored.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    hits = F.filter("items", lambda x: x["hit"].isNotNull())
-    # Distinct scored plans in order of first appearance, each with its summed score.
-    plans_seen = F.array_distinct(F.transform(hits, lambda x: x["hit"]["plan"]))
-    scores = F.transform("plans_seen", lambda p: F.struct(p.alias("plan"), F.aggregate(
-        F.filter("hits", lambda x: x["hit"]["plan"] == p), F.lit(0).cast("long"), lambda a, x: a + x["hit"]["w"] * x["cnt"]).alias("score")))
-    per_doc = per_doc.withColumn("hits", hits).withColumn("plans_seen", plans_seen).withColumn("scores", scores)
-    nums = F.array_distinct(F.filter(F.transform("items", lambda x: x["num"]), lambda n: n != ""))
-    detected = F.transform(
-        F.slice(F.array_sort(F.transform("items", lambda x, i: F.struct((-x["cnt"]).alias("k"), i.alias("i"), x["token"].alias("token"), x["cnt"].alias("cnt")))), 1, 10),
-        lambda x: F.struct(x["token"].alias("token"), x["cnt"].alias("cnt")),
-    )
-    per_doc = per_doc.select(key, "scores", "plans_seen", nums.alias("nums"), detected.alias("detected"))
+    items = checkpointed(scored.select(key, "pos", "token", "cnt", "num", plan_hit.alias("hit")))  # read three times below, written once
+    hits = items.where(F.col("hit").isNotNull())
+    scores = hits.groupBy(key, F.col("hit.plan").alias("plan")).agg(F.sum(F.col("hit.w") * F.col("cnt")).alias("score"), F.min("pos").alias("pos"))
 
     if docs is not None:
-        per_doc = checkpointed(per_doc)  # read three times below, written once
-        open_nums = per_doc.select(key, F.explode(F.filter("nums", lambda n: ~F.exists("plans_seen", lambda p: p.contains(n)))).alias("num"))
-        texts = docs.select(key, matchable(F.col(text)).alias("text_up"))
-        texts = texts.join(open_nums.select(key).distinct(), key, "left_semi").dropDuplicates([key])
-        won = _name_fallback(open_nums, texts, plans, key).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("num", "winner"))).alias("winners"))
-        # Numbers are taken in order of first appearance; each one sees the plans added before it.
-        added = F.aggregate(
-            "nums", F.array().cast("array<string>"),
-            lambda acc, n: F.when(
-                F.exists(F.concat(F.col("plans_seen"), acc), lambda p: p.contains(n)) | F.element_at("winners", n).isNull(), acc
-            ).otherwise(F.array_append(acc, F.element_at("winners", n))),
-        )
-        per_doc = per_doc.join(won, key, "left").withColumn(
-            "scores",
-            F.when(F.col("winners").isNull(), F.col("scores")).otherwise(
-                F.concat("scores", F.transform(added, lambda p: F.struct(p.alias("plan"), F.lit(BY_NAME).cast("long").alias("score"))))),
-        ).drop("winners")
-
-    ranked = F.array_sort(F.transform("scores", lambda s, i: F.struct((-s["score"]).alias("k"), i.alias("i"), s["plan"].alias("plan"))))
-    top = per_doc.select(key, "detected", F.get(ranked, F.lit(0)).alias("r1"), F.get(ranked, F.lit(1)).alias("r2"))
-    win = F.col("r1").isNotNull() & (F.col("r2").isNull() | (F.col("r2.k") - F.col("r1.k") >= LEAD))
-    top = top.withColumn("plan_norm", F.when(win, F.col("r1.plan")))
+        numbers = items.where("num <> ''").groupBy(key, "num").agg(F.min("pos").alias("pos"))
+        digits = F.flatten(F.transform(F.regexp_extract_all("plan", F.lit(r"(?U)(\d+)")), lambda r: _parts(r)))
+        inside = hits.select(F.col("hit.plan").alias("plan")).distinct().select("plan", F.explode(digits).alias("num"))
+        explained = scores.select(key, "plan").join(inside, "plan").select(key, "num")
+        open_ = checkpointed(numbers.join(explained, [key, "num"], "left_anti"))
+        added = _in_turn(_name_fallback(open_, docs, plans, key, text), key)
+        scores = scores.unionByName(added.select(key, F.col("winner").alias("plan"), F.lit(BY_NAME).cast("long").alias("score"), (F.col("pos") + (1 << 50)).alias("pos")))
+
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "pos"))
+    two = scores.withColumn("rn", place).where("rn <= 2").groupBy(key).agg(*[F.max(F.when(F.col("rn") == r, F.struct("score", "plan"))).alias(f"r{r}") for r in (1, 2)])
+    win = F.col("r2").isNull() | (F.col("r1.score") - F.col("r2.score") >= LEAD)
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("cnt"), "pos"))
+    often = items.withColumn("rn", place).where("rn <= 10").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rn", "token", "cnt"))).alias("d"))
+    often = often.select(key, F.transform("d", lambda x: F.struct(x["token"].alias("token"), x["cnt"].alias("cnt"))).alias("detected"))
     rows = idx.select(F.col("code").alias("plan_norm"), F.coalesce("own_row", "variant_row").alias("row"), F.col("own_row").isNull().alias("is_base_fallback"))
-    out = scanned.select(key, "is_blank").join(top, key, "left").join(rows, "plan_norm", "left")
+    top = two.withColumn("plan_norm", F.when(win, F.col("r1.plan")))
+    out = scanned.select(key, "is_blank").join(top, key, "left").join(often, key, "left").join(rows, "plan_norm", "left")
     note = (
         F.when(F.col("is_blank"), "No text extracted (scanned PDF?).")
         .when(F.col("plan_norm").isNotNull(), "")

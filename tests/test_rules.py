@@ -68,3 +68,30 @@ def test_text_match_edges(spark):
     assert got["tie"][0] == "" and got["tie"][3] == "Ambiguous"
     assert got["name"] == ("LMS77A", False, "LMS77A", "")
     assert got["none"][3] == "Detected " and got["blank"][3] == "No text e"
+
+
+def test_numbers_inside_numbers_and_many_codes(spark):
+    """A number inside one that was added before it adds no plan; scores of a text with very many codes are sums."""
+    from docroute.operators import dimension as dim
+
+    raw = [(1, "BCS 2707", "Seaview Towers", "M1"), (2, "EPS 27", "Orchard Grove", "M2"), (3, "EPS 70", "Kimberly House", "M2"), (4, "LMS 5", "Granville Place", "M3"), (5, "NW 500", "Harbour Court", "M3")]
+    plans = dim.parse(spark.createDataFrame([(*r, "", "AP", "", None) for r in raw], "row_no long, strata_plan string, strata_name string, strata_manager string, manager_email string, ap_name string, ap_email string, status string"))
+    names = "xSEAVIEWx TOWERS-2, orchardgrove, KIMBERLY HOUSE "
+    many = "; ".join(f"LMS {n}" for n in range(1000, 3000)) + "; LMS 5; LMS 5; NW 500; NW 500; NW 500"
+    texts = {
+        "long first": f"EPS 2707; NW 27; {names}", "short first": f"NW 27; EPS 2707; {names}", "chain": f"NW 2707; NW 27; NW 70; {names}", "apart": f"BCS 27; {names}", "many": many,
+        "words across": "EPS 2707; SEAV IEW TOW ERS",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "sha256 string, content_text string")
+    got = {r.sha256: r for r in lk.match_texts(lk.scan_texts(docs, plans), plans, docs).collect()}
+    assert got["long first"].text_plan == "BCS2707" and got["chain"].text_plan == "BCS2707"
+    assert got["short first"].text_note.startswith("Ambiguous: EPS27 vs BCS2707")
+    assert got["apart"].text_plan == "EPS27" and got["words across"].text_plan == ""
+    assert got["many"].text_plan == "NW500" and [(d.token, d.cnt) for d in got["many"].detected[:2]] == [("NW500", 3), ("LMS5", 2)] and len(got["many"].detected) == 10
+
+
+def test_no_text_is_joined(spark, sf):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["text_plan_score"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "content_text" not in plan and "BroadcastNestedLoopJoin" not in plan
