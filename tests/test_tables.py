@@ -51,19 +51,28 @@ def walk(replies, priors, status):
     return out
 
 
-@pytest.mark.parametrize("plans", [1, 2])
-def test_recovery_equals_the_walk(spark, plans):
+@pytest.mark.parametrize("plans,small", [(1, th.SMALL), (2, 0), (7, th.SMALL)])
+def test_recovery_equals_the_walk(spark, plans, small):
+    """One plan: running sums; small = 0: same-plan runs; otherwise one pass over each conversation."""
     rng = random.Random(plans)
-    replies = [(rng.randrange(3), 1000 + i, rng.randrange(40), f"P{rng.randrange(plans)}") for i in range(40)]
-    priors = [(rng.randrange(3), i, rng.randrange(40)) for i in range(50)]
+    replies = [(rng.randrange(3), 1000 + i, rng.randrange(40), f"P{rng.randrange(plans)}") for i in range(10 if small == 0 else 90)]
+    priors = [(rng.randrange(4), i, rng.randrange(40)) for i in range(60)]
     status = {(p[1], f"P{k}"): rng.choice(["commit", "commit", "commit", "none", "flag"]) for p in priors for k in range(plans)}
     r = spark.createDataFrame(replies, "conversation_id long, msg_id long, received_at long, plan string")
     p = spark.createDataFrame(priors, "conversation_id long, msg_id long, received_at long")
     s = spark.createDataFrame([(a, b, c) for (a, b), c in status.items()], "msg_id long, plan string, status string")
-    got = {x.msg_id: (x.outcome, x.prior_id) for x in th.recover(r, p, s).collect()}
-    want = walk(replies, priors, status)
-    assert {k: v for k, v in got.items() if v[0] in ("recovered", "flagged")} == {k: v for k, v in want.items() if v[0] in ("recovered", "flagged")}
-    assert set(got) == set(want)
+    got = th.recover(r, p, s, small).collect()
+    assert {x.msg_id: (x.outcome, x.prior_id) for x in got} == walk(replies, priors, status) and len(got) == len(replies)
+
+
+def test_long_conversation_of_alternating_plans(spark):
+    replies = [(1, 10_000 + i, 2 * i + 1, f"P{i % 3}") for i in range(1000)]
+    priors = [(1, i, 2 * i) for i in range(1000)]
+    status = {(i, f"P{k}"): "flag" if (i + k) % 11 == 0 else "commit" if (i + k) % 2 else "none" for i in range(1000) for k in range(3)}
+    got = th.recover(
+        spark.createDataFrame(replies, "conversation_id long, msg_id long, received_at long, plan string"), spark.createDataFrame(priors, "conversation_id long, msg_id long, received_at long"),
+        spark.createDataFrame([(a, b, c) for (a, b), c in status.items()], "msg_id long, plan string, status string")).collect()
+    assert {x.msg_id: (x.outcome, x.prior_id) for x in got} == walk(replies, priors, status)
 
 
 def test_unique_names_with_gaps(spark):
