@@ -22,11 +22,12 @@ def _cell(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def parse(raw: DataFrame) -> DataFrame:
-    """S1 without validation: one parsed row per list row with a plan code."""
+def parse(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """S1 without validation: one parsed row per list row with a plan code, with the columns `keep` in front."""
     status = t.strip(F.col("status"))
     return (
         raw.select(
+            *keep,
             "row_no",
             t.norm_plan(t.strip(F.col("strata_plan"))).alias("plan_norm"),
             t.strip(F.col("strata_plan")).alias("plan_raw"),
@@ -40,7 +41,7 @@ def parse(raw: DataFrame) -> DataFrame:
         )
         .where(F.col("plan_norm") != "")
         .withColumns({"manager_key": t.name_key(F.col("manager_name")), "ap_key": t.name_key(F.col("ap_name"))})
-        .select(*ROUTE_COLS)
+        .select(*keep, *ROUTE_COLS)
     )
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.functions import text as t
 from docroute.operators import dimension as dim
-from docroute.plans.registry import base_of, pretty, query
+from docroute.plans.registry import base_of, parsed, pretty, query, view
+from docroute.session import shared_dir
 from docroute.sources import plan_list
 from docroute.sources.tables import table
 
@@ -98,3 +101,50 @@ FROM (SELECT row_no, 'strata_manager' AS field, trim(split_part(strata_manager,
 WHERE value <> '') WHERE reason IS NOT NULL""")
 def path_component_quality(spark, d):
     return dim.quality(table(spark, d, "fx_plan_list"))
+
+
+# ---- lists by day: the first day lacks a third of the rows, on the second some have no manager, the third is the list as it is
+
+DAYS = ["2024-03-01", "2024-03-02", "2024-03-03"]
+view("fx_list_day1", "SELECT * FROM fx_plan_list WHERE row_no % 3 <> 0")
+view("fx_list_day2", "SELECT row_no, strata_plan, strata_name, CASE WHEN row_no % 7 = 0 THEN '' ELSE strata_manager END AS strata_manager, manager_email, ap_name, ap_email, status FROM fx_plan_list")
+for _n in (1, 2):
+    view(f"list_day{_n}", parsed(f"fx_list_day{_n}", "row_no"))
+view("list_days", "SELECT 0 AS day_no, * FROM list_day1 UNION ALL SELECT 1, * FROM list_day2 UNION ALL SELECT 2, * FROM list_rows")
+
+
+def _lists(spark: SparkSession, d: str, days: int) -> str:
+    """A folder with the lists of the first `days` days."""
+    home, raw = f"{shared_dir(spark)}/plan-lists-{uuid.uuid4().hex}", table(spark, d, "fx_plan_list")
+    no_manager = F.when(F.col("row_no") % 7 == 0, "").otherwise(F.col("strata_manager"))
+    for day, rows in list(zip(DAYS, (raw.where("row_no % 3 <> 0"), raw.withColumn("strata_manager", no_manager), raw)))[:days]:
+        plan_list.put_day(rows, home, day)
+    return home
+
+
+@query("plan_list_days", """
+SELECT n_nationkey AS run_no, CAST(DATE '2024-03-01' + CAST(day_no AS INT) AS VARCHAR) AS run_date, count(*) AS n_rows, count(*) FILTER (status_active) AS n_active, count(DISTINCT plan_norm) AS n_plans,
+  count(*) FILTER (manager_name = '') AS n_unmanaged FROM nation JOIN list_days ON day_no = n_nationkey % 3 WHERE n_nationkey % 3 > 0 GROUP BY ALL""")
+def plan_list_days(spark, d):
+    """Every run reads the list of its own day; days that no run is of are not read."""
+    lists = plan_list.daily(spark, _lists(spark, d, 3))
+    runs = table(spark, d, "nation").where("n_nationkey % 3 > 0").select(
+        F.col("n_nationkey").alias("run_no"), F.date_add(F.lit(DAYS[0]).cast("date"), (F.col("n_nationkey") % 3).cast("int")).alias("run_date"))
+    rows = plan_list.load_plans(plan_list.for_runs(lists, runs), strict=False, keep=("run_no", "run_date"))
+    return rows.groupBy("run_no", F.col("run_date").cast("string").alias("run_date")).agg(
+        F.count("*").alias("n_rows"), F.count_if("status_active").alias("n_active"), F.count_distinct("plan_norm").alias("n_plans"), F.count_if(F.col("manager_name") == "").alias("n_unmanaged"))
+
+
+@query("plan_list_run", "SELECT plan_norm, plan_raw, manager_name, manager_email, ap_name, status_active FROM list_rows")
+def plan_list_run(spark, d):
+    """The third day's list is missing; the job fetches it once, from the export's CSV files, and reads it by day."""
+    home = _lists(spark, d, 2)
+
+    def fetch() -> DataFrame:
+        heads = {c: h for h, c in plan_list.HEADERS.items()}
+        raw = table(spark, d, "fx_plan_list").drop("row_no")
+        raw.select(*[F.col(c).alias(heads[c]) for c in raw.columns]).write.option("header", True).csv(f"{home}-export")
+        return plan_list.read_csv(spark, f"{home}-export")
+
+    rows = plan_list.load_plans(plan_list.current(spark, home, DAYS[2], fetch), strict=False)
+    return rows.select("plan_norm", "plan_raw", "manager_name", "manager_email", "ap_name", "status_active")

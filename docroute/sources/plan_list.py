@@ -1,7 +1,9 @@
-"""Reading the plan list, and the freshness gate on its snapshot date."""
+"""Reading the plan list, its lists by day, and the gate that asks for the list of the run's day."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,20 +27,50 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(F.concat_ws("", *[t.strip(F.col(c)) for c in HEADERS.values()]) != "")
 
 
-def load_plans(raw: DataFrame, strict: bool = True) -> DataFrame:
+def load_plans(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parsed, validated plan rows; strict also refuses conflicting routing (A1)."""
-    plans = dimension.validated(dimension.parse(raw))
+    plans = dimension.validated(dimension.parse(raw, keep))
     return dimension.require_consistent(plans) if strict else plans
 
 
-def require_fresh(snapshots: DataFrame, run_date) -> DataFrame:
-    """The rows of `as_of = run_date`; the job fails when that snapshot is missing."""
-    today = snapshots.where(F.col("as_of") == F.lit(run_date).cast("date"))
+# ---- S2: lists by day, one folder each
+
+_DAILY = ", ".join(["row_no long", *(f"{c} string" for c in HEADERS.values()), "as_of date"])
+
+
+def put_day(raw: DataFrame, path: str, as_of: str) -> None:
+    """Write one day's list in place of that day's; the other days stay as they are."""
+    columns = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in HEADERS.values()]
+    day = raw.select(F.col("row_no").cast("long"), *columns, F.lit(as_of).cast("date").alias("as_of"))
+    day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(path)
+
+
+def daily(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_DAILY).parquet(path)
+
+
+def for_runs(lists: DataFrame, runs: DataFrame) -> DataFrame:
+    """The raw rows of the list of each run's day: runs (run_date, ...) decide which days are read."""
+    return runs.join(lists, F.col("as_of") == F.col("run_date")).drop("as_of")
+
+
+def require_fresh(lists: DataFrame, run_date: str) -> DataFrame:
+    """The rows of `as_of = run_date`; the job fails when that day has no list."""
+    today = lists.where(F.col("as_of") == F.lit(run_date).cast("date"))
     if today.isEmpty():
         raise RuntimeError(f"plan snapshot is not of {run_date}")
     return today
 
 
+def current(spark: SparkSession, path: str, run_date: str, refresh: Callable[[], DataFrame] | None = None) -> DataFrame:
+    """Today's list. A job that may fetch it (`refresh` gives its raw rows) does so once, when today's is missing."""
+    lists = daily(spark, path)
+    if refresh is not None and lists.where(F.col("as_of") == F.lit(run_date).cast("date")).isEmpty():
+        put_day(refresh(), path, run_date)
+        lists = daily(spark, path)
+    return require_fresh(lists, run_date)
+
+
 def written(parsed: DataFrame) -> DataFrame:
     """The parsed list, written once to the shared folder, so that all operators of a job read the same rows."""
     return checkpointed(parsed)

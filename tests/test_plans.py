@@ -36,3 +36,26 @@ def test_every_query_has_a_name_in_both_tables():
 def test_filters_and_columns_reach_the_scan(spark, sf):
     scan = entry.queries()["zip_lenient"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "l_tax" not in scan and "l_shipdate" not in scan
+
+
+def test_runs_read_their_days_only(spark, sf):
+    df = entry.queries()["plan_list_days"](spark, sf)
+    assert {r.run_date for r in df.collect()} == {"2024-03-02", "2024-03-03"}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
+
+
+def test_stale_list_is_refused_or_fetched_once(spark, tmp_path):
+    from docroute.sources import plan_list
+
+    raw = spark.createDataFrame([(1, "BCS 1", "A")], "row_no int, strata_plan string, strata_manager string")
+    home, calls = str(tmp_path / "lists"), []
+    plan_list.put_day(raw, home, "2024-03-01")
+    with pytest.raises(RuntimeError):
+        plan_list.current(spark, home, "2024-03-02")
+    fetch = lambda: calls.append(1) or raw.withColumn("strata_plan", plan_list.F.lit("BCS 2"))
+    for _ in range(2):
+        assert [r.strata_plan for r in plan_list.current(spark, home, "2024-03-02", fetch).collect()] == ["BCS 2"]
+    assert calls == [1] and [r.strata_plan for r in plan_list.current(spark, home, "2024-03-01").collect()] == ["BCS 1"]
+    with pytest.raises(RuntimeError):
+        plan_list.current(spark, home, "2024-03-03", lambda: raw.limit(0))
