@@ -23,10 +23,14 @@ def write(baselines: DataFrame, path: str) -> None:
     baselines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "as_of", "owner_key").parquet(path)
 
 
+def days(spark: SparkSession, path: str) -> DataFrame:
+    """The lists of all days."""
+    return spark.read.schema("file_name string, kind string, as_of date, owner_key string").parquet(path)
+
+
 def read(spark: SparkSession, path: str, as_of: str | None = None) -> DataFrame:
     """Lists of one day (managers compare with yesterday's), or each owner's latest per kind (payers roll on)."""
-    schema = "file_name string, kind string, as_of date, owner_key string"
-    df = spark.read.schema(schema).parquet(path)
+    df = days(spark, path)
     if as_of is not None:
         return df.where(F.col("as_of") == F.lit(as_of).cast("date"))
     last = df.groupBy("kind", "owner_key").agg(F.max("as_of").alias("as_of"))

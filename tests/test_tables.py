@@ -1,5 +1,6 @@
 """Sources, sinks, running aggregates and the order-dependent operators against small brute-force versions."""
 
+import datetime as dt
 import random
 import tempfile
 
@@ -146,3 +147,28 @@ def test_folder_scan(spark):
     assert sorted(r.file_name for r in fs.hashed(f).collect()) == ["a.pdf", "d.pdf"]
     assert sorted(r.file_name for r in fs.real_pdf(f).collect()) == ["Processed - b.pdf", "a.pdf"]
     assert {r.path_rel_to_root for r in fs.listing(f, home).collect()} == {"a.pdf", "Processed - b.pdf", "d.pdf"}
+
+
+def test_lists_of_several_days(spark):
+    """Each day and owner against the list the rule names, by a loop over all lists."""
+    from docroute.operators import queues as qu
+
+    rng = random.Random(8)
+    owners = ["M1", "M2", "P1", "P2"]
+    exists = {(o, k, d) for o in owners for k in ("notified", "legacy") for d in range(1, 9) if rng.random() < 0.4}
+    lists = [(o, k, d, f) for o, k, d in sorted(exists) for f in [""] + [f"f{n}.PDF" for n in range(6) if rng.random() < 0.5]]
+    today = [(o, d, f"F{n}.pdf") for o in owners for d in range(1, 10) for n in range(6) if rng.random() < 0.7]
+    date = lambda d: dt.date(2024, 3, d)
+    want = set()
+    for o, d, f in today:
+        base = []
+        for kind in ("notified", "legacy"):
+            have = [x for p, k, x in exists if p == o and k == kind and (x < d if o[0] == "P" else x == d - 1)]
+            if have:
+                base = [n.lower() for p, k, x, n in lists if (p, k, x) == (o, kind, max(have))]
+                break
+        want.add((o, date(d), f, f.lower() not in base))
+    t_ = spark.createDataFrame([(o, date(d), f) for o, d, f in today], "owner string, day date, file_name string")
+    l_ = spark.createDataFrame([(o, k, date(d), f) for o, k, d, f in lists], "owner string, kind string, as_of date, file_name string")
+    got = qu.old_new_days(t_, l_, ["owner"], qu.F.col("owner").startswith("P")).collect()
+    assert {(r.owner, r.day, r.file_name, r.is_new) for r in got} == want and len(got) == len(want)
