@@ -14,27 +14,66 @@ MONTHLY_COLUMNS = ["run_date", "run_timestamp", "plan_norm", "target_year", "tar
 
 def _int_or(c: str, default) -> Column:
     s = t.strip(F.col(c).cast("string"))
-    bad = (s != "") & s.try_cast("long").isNull()
-    return F.when(bad, F.raise_error(F.concat(F.lit(f"malformed {c}: "), s)).cast("long")).when(s == "", F.lit(default).cast("long")).otherwise(s.try_cast("long"))
+    return F.when(s == "", F.lit(default).cast("long")).otherwise(s.try_cast("long"))
 
 
-def parse_fingerprints(raw: DataFrame) -> DataFrame:
-    """String rows by header; missing columns default, a bad number or an empty hash fails the job."""
-    have = raw
-    for c in LEDGER_COLUMNS:
-        if c not in have.columns:
-            have = have.withColumn(c, F.lit(""))
-    out = have.select(*[c for c in ["pos"] if c in have.columns], *[
+def _problem(ints: tuple[str, ...], empty: Column | None = None) -> Column:
+    """What is wrong with a row of strings, or null."""
+    found = []
+    for c in ints:
+        s = t.strip(F.col(c).cast("string"))
+        found.append(F.when((s != "") & s.try_cast("long").isNull(), F.concat(F.lit(f"malformed {c}: "), s)))
+    return F.nullif(F.concat_ws("; ", *found, *([] if empty is None else [empty])), F.lit(""))
+
+
+def _guarded(df: DataFrame, problem: Column) -> DataFrame:
+    """The rows; a bad one fails the job, whichever columns are read afterwards."""
+    return df.where(F.coalesce(F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")), F.lit(True)))
+
+
+def _headed(raw: DataFrame) -> DataFrame:
+    """Missing columns default."""
+    return raw.withColumns({c: F.lit("") for c in LEDGER_COLUMNS if c not in raw.columns})
+
+
+def _fingerprint_problem() -> Column:
+    return _problem(("amount_cents", "dup_count"), F.when(t.strip(F.col("sha256")) == "", "ledger row with an empty sha256"))
+
+
+def _fingerprint_rows(have: DataFrame) -> DataFrame:
+    return have.select(*[c for c in ["pos"] if c in have.columns], *[
         (_int_or(c, None) if c == "amount_cents" else _int_or(c, 0) if c == "dup_count" else F.lower(t.strip(F.col(c))) if c == "sender_domain" else t.strip(F.col(c))).alias(c)
         for c in LEDGER_COLUMNS])
-    empty = F.when(F.col("sha256") == "", F.raise_error(F.lit("ledger row with an empty sha256")).cast("string"))
-    return out.withColumn("sha256", F.coalesce(empty, F.col("sha256")))
+
+
+def parse_fingerprints(raw: DataFrame) -> DataFrame:
+    """String rows by header; missing columns default, a bad number or an empty hash fails the job."""
+    have = _headed(raw)
+    return _fingerprint_rows(_guarded(have, _fingerprint_problem()))
+
+
+def sift_fingerprints(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S6 that goes on: (good rows, rejected rows as they came, with a `reason`)."""
+    marked = _headed(raw).withColumn("reason", _fingerprint_problem())
+    return _fingerprint_rows(marked.where("reason is null")), marked.where("reason is not null").select(*raw.columns, "reason")
+
+
+_MONTHLY_INTS = ("target_year", "target_month", "sources_merged")
+
+
+def _monthly_rows(raw: DataFrame) -> DataFrame:
+    return raw.select(*[(_int_or(c, 0) if c in _MONTHLY_INTS else t.blank(c)).alias(c) for c in MONTHLY_COLUMNS])
 
 
 def parse_monthly(raw: DataFrame) -> DataFrame:
     """Blank numbers are 0, a bad number fails the job."""
-    ints = ("target_year", "target_month", "sources_merged")
-    return raw.select(*[(_int_or(c, 0) if c in ints else t.blank(c)).alias(c) for c in MONTHLY_COLUMNS])
+    return _monthly_rows(_guarded(raw, _problem(_MONTHLY_INTS)))
+
+
+def sift_monthly(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S7 that goes on: (good rows, rejected rows as they came, with a `reason`)."""
+    marked = raw.withColumn("reason", _problem(_MONTHLY_INTS))
+    return _monthly_rows(marked.where("reason is null")), marked.where("reason is not null")
 
 
 def monthly_rows(rollup: DataFrame, run_ts) -> DataFrame:

@@ -14,7 +14,7 @@ from docroute.operators.ordered import Run, running
 from docroute.sources import baselines as bl
 from docroute.sources import files as fs
 from docroute.sources import run_lines as rl
-from docroute.sources.ledger_store import parse_fingerprints
+from docroute.sources.ledger_store import MONTHLY_COLUMNS, parse_fingerprints, parse_monthly, sift_monthly
 
 
 def test_running_over_a_hot_key(spark):
@@ -121,7 +121,7 @@ def test_ledger_parser_refuses_bad_rows(spark):
     assert (r.sha256, r.amount_cents, r.sender_domain, r.dup_count, r.archive_sha256) == ("h1", None, "v.com", 0, "")
     for bad in (("h1", "P", "x", ""), (" ", "P", "1", "")):
         with pytest.raises(Exception):
-            parse_fingerprints(spark.createDataFrame([bad], ok.schema)).collect()
+            parse_fingerprints(spark.createDataFrame([bad], ok.schema)).select("plan_norm").collect()  # whichever columns are read
 
 
 def test_baselines_and_run_lines(spark):
@@ -172,3 +172,13 @@ def test_lists_of_several_days(spark):
     l_ = spark.createDataFrame([(o, k, date(d), f) for o, k, d, f in lists], "owner string, kind string, as_of date, file_name string")
     got = qu.old_new_days(t_, l_, ["owner"], qu.F.col("owner").startswith("P")).collect()
     assert {(r.owner, r.day, r.file_name, r.is_new) for r in got} == want and len(got) == len(want)
+
+
+def test_monthly_ledger_rows_are_parsed_refused_or_sifted(spark):
+    row = lambda **kw: tuple({"plan_norm": "P", "target_year": "2026", "target_month": " ", "sources_merged": "4"}.get(c, "") if c not in kw else kw[c] for c in MONTHLY_COLUMNS)
+    raw = spark.createDataFrame([row(), row(target_month="May"), row(sources_merged=None)], ", ".join(f"{c} string" for c in MONTHLY_COLUMNS))
+    good, bad = sift_monthly(raw)
+    assert sorted((r.target_year, r.target_month, r.sources_merged) for r in good.collect()) == [(2026, 0, 0), (2026, 0, 4)]
+    assert [(r.target_month, r.reason) for r in bad.collect()] == [("May", "malformed target_month: May")]
+    with pytest.raises(Exception):
+        parse_monthly(raw).select("plan_norm").collect()
