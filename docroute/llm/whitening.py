@@ -11,7 +11,7 @@ Cases: rows whose vector is null or empty, or has a null or non-finite entry, dr
 the most frequent length stays (the smaller among equally frequent ones); x stops at +-2^61; a null vec_id stays null;
 rows that repeat count as often as they occur; other columns are not read; an empty table gives no row. A component
 without variance (equal vectors, one row, or a rounding error of it) has whitened 0 everywhere and takes no part in the
-identity error. Deviations are exact decimal text, since they outgrow a long from some 10^7 rows on.
+identity error. Deviations are exact decimal text, since they outgrow a long from some millions of rows on.
 """
 
 from __future__ import annotations
