@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import text as t
+from docroute.session import checkpointed
 
 MIN_HEX, MAX_HEX = 12, 64  # fixed limits of a hash prefix
 
@@ -34,9 +35,11 @@ def resolve(requests: DataFrame, ledger: DataFrame) -> DataFrame:
         *[F.coalesce(F.when(one, F.col(f"row.{a}")), F.lit("")).alias(b) for a, b in (("sha256", "sha256"), ("plan_norm", "plan_norm"), ("current_stage", "prior_stage"))])
 
 
-def as_ops(resolved: DataFrame, ts: Column) -> DataFrame:
-    """L4: the accepted requests as ledger operations."""
-    return resolved.where("result = 'overridden'").select("sha256", F.lit("override").alias("op"), ts.alias("ts"))
+def as_ops(resolved: DataFrame, ts: Column, first_seq: int = 0) -> DataFrame:
+    """L4: the accepted requests as ledger operations, one per row however many prefixes mean it."""
+    rows = checkpointed(resolved.where("result = 'overridden'").select("sha256").distinct())
+    unset = [F.lit(None).cast(ty).alias(c) for c, ty in (("plan_norm", "string"), ("invoice_number", "string"), ("amount_cents", "long"), ("sender_domain", "string"))]
+    return rows.select((F.monotonically_increasing_id() + first_seq).alias("seq"), ts.alias("ts"), "sha256", F.lit("override").alias("op"), *unset)
 
 
 def audit_rows(resolved: DataFrame, ts: Column) -> DataFrame:

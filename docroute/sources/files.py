@@ -61,15 +61,27 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
 
 
+def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A report's rows as text, in the written order by `nth` (from 0)."""
+    lines = numbered(spark.read.text(path).where(F.col("value") != "\t".join(columns)).select("value", *place()), [], "row")
+    cells = F.split("value", "\t", len(columns))
+    return lines.select(F.col("row").alias("nth"), *[cells[i].alias(c) for i, c in enumerate(columns)])
+
+
 def step_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Step, day, file, line_no and the three fields of each log line; line_no is the position within the file."""
-    raw = numbered(spark.read.text(path).select("value", *place()), ["file"], "line_no")
-    leaf = F.substring_index("file", "/", -1)
-    step, day = F.regexp_extract(leaf, r"^(step_\w+?)_\d{4}-", 1), F.regexp_extract(leaf, r"_(\d{4}-\d{2}-\d{2})", 1).try_cast("date")
+    """Step, day, file, line_no and the three fields of each log line; line_no is the position within the log.
+
+    A log is a file named after its step and day, or a folder of that name whose files are its lines in order of their names.
+    """
+    named = r"/[^/]*?(step_\w+?)_(\d{4}-\d{2}-\d{2})[^/]*"
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", *place())
+    log = F.regexp_extract("file", "^(.*" + named + ")", 1)
+    raw = numbered(lines.withColumn("log", F.when(log == "", F.col("file")).otherwise(log)), ["log"], "line_no")
+    step, day = F.regexp_extract("log", named + "$", 1), F.regexp_extract("log", named + "$", 2).try_cast("date")
     g = [F.regexp_extract("value", LOG_LINE, i) for i in (1, 2, 3)]
-    return raw.select(step.alias("step"), day.alias("day"), "file", "line_no", "value", g[0].alias("logged_at"), g[1].alias("level"), g[2].alias("message"))
+    return raw.select(step.alias("step"), day.alias("day"), F.col("log").alias("file"), "line_no", "value", g[0].alias("logged_at"), g[1].alias("level"), g[2].alias("message"))
 
 
 def recent_logs(logs: DataFrame, mtime: str, run_ts, days: int) -> DataFrame:
-    """log files of the last days."""
+    """logs of the last days, by a time or day of theirs."""
     return logs.where(F.col(mtime) >= run_ts - F.expr(f"INTERVAL {int(days)} DAYS"))

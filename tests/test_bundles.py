@@ -102,3 +102,31 @@ def test_stream_decides_complete_messages_once(spark, tmp_path, plan_rows):
     got = [(r.msg_id, (r.reason_code, r.reason)) for r in st.decided(spark, home).collect()]
     assert dict(got) == want and len(got) == len(want) == 3
     assert [r.msg_id for r in st.open_messages(spark, home, mail).collect()] == [6]
+
+
+def test_logs_in_files_and_in_folders(spark, tmp_path):
+    from docroute.sources import files as fs
+
+    day = tmp_path / "logs" / "step_2_2024-03-02.log"
+    day.mkdir(parents=True)
+    (day / "part-0").write_text("09:00 | INFO | a | b\nplain\n")
+    (day / "part-1").write_text("09:05 | ERROR | c\n")
+    (tmp_path / "logs" / "step_1_2024-03-01.log").write_text("08:00 | INFO | x\n")
+    (tmp_path / "logs" / "other.txt").write_text("y\n")
+    got = sorted((r.step, str(r.day), r.line_no, r.logged_at, r.level, r.message) for r in fs.step_logs(spark, str(tmp_path / "logs")).collect())
+    assert got == [
+        ("", "None", 0, "", "", ""), ("step_1", "2024-03-01", 0, "08:00", "INFO", "x"), ("step_2", "2024-03-02", 0, "09:00", "INFO", "a | b"),
+        ("step_2", "2024-03-02", 1, "", "", ""), ("step_2", "2024-03-02", 2, "09:05", "ERROR", "c")]
+
+
+def test_one_override_per_row(spark):
+    from docroute.operators import override as ov
+
+    a, b = "a" * 64, "a" * 20 + "b" * 44
+    ledger = spark.createDataFrame([(a, "BCS1", "archived"), (b, "BCS2", "ap_queue")], "sha256 string, plan_norm string, current_stage string")
+    asked = ["a" * 12, "a" * 21, " " + "A" * 64, "a" * 65, "a" * 11, "xyz", "b" * 12, None]
+    r = ov.resolve(spark.createDataFrame([(p, "r") for p in asked], "prefix string, reason string"), ledger)
+    got = {x.prefix: x.result for x in r.collect()}
+    assert got == {
+        "": "not hex", "xyz": "not hex", "a" * 11: "too short", "a" * 65: "too long", "a" * 12: "ambiguous", "b" * 12: "no match", "a" * 21: "overridden", "a" * 64: "overridden"}
+    assert [x.sha256 for x in ov.as_ops(r, ov.F.lit(None).cast("timestamp")).collect()] == [a]
