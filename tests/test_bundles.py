@@ -130,3 +130,17 @@ def test_one_override_per_row(spark):
     assert got == {
         "": "not hex", "xyz": "not hex", "a" * 11: "too short", "a" * 65: "too long", "a" * 12: "ambiguous", "b" * 12: "no match", "a" * 21: "overridden", "a" * 64: "overridden"}
     assert [x.sha256 for x in ov.as_ops(r, ov.F.lit(None).cast("timestamp")).collect()] == [a]
+
+
+def test_parts_are_derived_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    parts = frame(spark, ROWS, PARTS)
+    pdfs, found = bu.opened(parts.mapInArrow(count, parts.schema), frame(spark, MESSAGES, MAIL))
+    assert pdfs.count() and found.count()
+    assert seen.value <= 2 * len(ROWS)  # attachments and entries, each once

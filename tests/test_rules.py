@@ -95,3 +95,17 @@ def test_no_text_is_joined(spark, sf):
 
     plan = entry.queries()["text_plan_score"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "content_text" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_equal_findings_are_scored_once_and_name_words_stay_apart(spark):
+    """Texts with the same codes share one scoring; the words around an open number decide per text; unread fields are not taken."""
+    from docroute.operators import dimension as dim
+
+    raw = [(1, "LMS 77A", "Granville Kimberly", "M1"), (2, "LMS 77B", "Orchard Seaview", "M2"), (3, "EPS 500", "Grove House", "M3")]
+    plans = dim.parse(spark.createDataFrame([(*r, "", "AP", "", None) for r in raw], "row_no long, strata_plan string, strata_name string, strata_manager string, manager_email string, ap_name string, ap_email string, status string"))
+    texts = {"a": "LMS 77 granville kimberly", "b": "LMS 77 orchard seaview", "c": "LMS 77", "d": "EPS 500", "e": "see EPS 500", "f": "Strata EPS 500"}
+    docs = spark.createDataFrame(list(texts.items()), "sha256 string, content_text string")
+    scanned = lk.scan_texts(docs, plans, only=lk.LINKED)
+    assert set(scanned.columns) == {"sha256", *lk.LINKED}
+    got = {r.sha256: (r.text_plan, list(r.explicit)) for r in lk.match_texts(scanned, plans, docs).collect()}
+    assert got == {"a": ("LMS77A", []), "b": ("LMS77B", []), "c": ("", []), "d": ("EPS500", []), "e": ("EPS500", []), "f": ("EPS500", ["EPS500"])}
