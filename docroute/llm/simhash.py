@@ -7,9 +7,11 @@ once its errors exceed the budget. A fingerprint has at most 2,080 others within
 number of fingerprints, however large a group of copies is: copies of one fingerprint count once. Each task passes on a
 spanning forest of its links, and the components are found from these.
 
-one_of_each() asks for more than a few bits can tell: near copies of five-word similarity SIMILAR differ in ten bits or
-so, which no trie can be searched for. It takes min-hashes of the shingle sets in BANDS bands of ROWS; the texts of one
-band value are paired with the smallest and the largest of them, and the pairs verified on their whole shingle sets.
+one_of_each() takes the trie's links as candidates, and more than a few bits can tell: near copies of five-word similarity
+SIMILAR differ in ten bits or so, which no trie can be searched for. For these it takes min-hashes of the shingle sets in
+BANDS bands of ROWS. All candidates are verified on their whole shingle sets. The texts of one band value, or of one trie
+component, are first paired with the smallest and the largest of them, in a few orders; then every pair of a band value or
+of the trie that no link has joined yet is verified too.
 
 Cases: a null text is empty; no words give fingerprint zero, linked like any other; one or two words are one shingle; a
 null doc_id takes part but does not name a component unless it is alone; repeated rows share a component; an empty table
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -228,12 +230,54 @@ def similar(near: DataFrame, sets: DataFrame) -> DataFrame:
     return near.select("a", "b", "of_a", "of_b").mapInArrow(rows, "a long, b long")
 
 
-def near_copies(tagged: DataFrame, distinct: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between the sets in (fp, least, bands), whose texts are those of the rows least._row."""
-    each = distinct.select("fp", F.posexplode("bands").alias("band", "value"))
-    ends = each.groupBy("band", "value").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high")
-    met = each.join(ends, ["band", "value"]).select("fp", F.explode(F.array("low", "high")).alias("other")).where("fp <> other")
-    near = scratch.write(met.select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b")).distinct(), "candidates")
+def candidates(each: DataFrame, roots: DataFrame, mixed: DataFrame, turn: int | None) -> DataFrame:
+    """Pairs (a, b) of the rows (fp, band, value, size, print) of the groups `mixed` that have not one root: each row and
+    both ends of its group in the order of that turn; None: all pairs, those of a trie component within BUDGET bits."""
+    key = ["band", "value"]
+    left = _rooted_rows(each, roots).join(mixed.select(*key), key, "left_semi")
+    if turn is None:
+        near = F.coalesce(F.bit_count(F.col("x.print").bitwiseXOR(F.col("y.print"))) <= BUDGET, F.lit(True))
+        met = left.alias("x").join(left.alias("y"), key).where("x.fp > y.fp and x.root <> y.root").where(near)
+        sized = met.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), F.col("x.size").alias("m"), F.col("y.size").alias("n"))
+    else:
+        place = F.struct((F.xxhash64("fp", F.lit(turn)) if turn else F.col("fp")).alias("at"), "fp", "size", "root")
+        ends = left.groupBy(*key).agg(F.min(place).alias("low"), F.max(place).alias("high"))
+        met = left.join(ends, key).select("fp", "size", "root", F.explode(F.array("low", "high")).alias("end")).where("root <> end.root")
+        sized = met.select(F.greatest("fp", "end.fp").alias("a"), F.least("fp", "end.fp").alias("b"), F.col("size").alias("m"), F.col("end.size").alias("n"))
+    return sized.where(F.greatest("m", "n") * SIMILAR <= F.least("m", "n")).select("a", "b").distinct()
+
+
+def _rooted_rows(each: DataFrame, roots: DataFrame) -> DataFrame:
+    return each.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def near_copies(tagged: DataFrame, distinct: DataFrame, each: DataFrame, scratch: Scratch) -> DataFrame:
+    """(fp, root) of the sets in (fp, least) that verified links join, other than the smallest; texts are those of the rows least._row.
+
+    Pairs that links have joined already change no component, and are not compared. While turns of few pairs join much of
+    what is apart, they go on; the last one takes all that is left.
+    """
+    spark = tagged.sparkSession
+    found = seen = scratch.write(spark.createDataFrame([], "a long, b long"), "none")
+    roots, left_before, fill = spark.createDataFrame([], "fp long, root long"), None, distinct.count()
+    for turn in count():
+        sizes = _rooted_rows(each, roots).groupBy("band", "value", "root").agg(F.count("*").cast("double").alias("n")).groupBy("band", "value")
+        mixed = scratch.write(sizes.agg(F.count("*").alias("roots"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("roots > 1"), f"mixed_{turn}")
+        left = mixed.agg(F.sum("pairs")).first()[0]
+        if not left:
+            return roots
+        last = turn > 0 and (left <= fill or left > left_before / 2)
+        near = candidates(each, roots, mixed, None if last else turn).join(seen, ["a", "b"], "left_anti")
+        near = scratch.write(near, f"candidates_{turn}")
+        found = scratch.write(found.union(verified(tagged, distinct, near, scratch, turn)), f"links_{turn}")
+        roots = components(found, Scratch(spark, "simhash-roots")).withColumnRenamed("node", "fp")
+        if last:
+            return roots
+        seen, left_before = seen.union(near), left
+
+
+def verified(tagged: DataFrame, distinct: DataFrame, near: DataFrame, scratch: Scratch, turn: int) -> DataFrame:
+    """The pairs of `near` that are similar by the whole sets of their texts."""
     needed = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct().join(distinct, "fp").select("fp", "least._row")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,32 +288,48 @@ def near_copies(tagged: DataFrame, distinct: DataFrame, scratch: Scratch) -> Dat
 
     texts = tagged.select("_row", text_of().alias("text")).join(needed, "_row").dropDuplicates(["_row"])
     with small_batches(tagged.sparkSession, 200):
-        sets = scratch.write(texts.select("fp", "text").mapInArrow(rows, "fp long, tokens binary"), "sets")
-        found = scratch.write(similar(near, sets), "links")
-    scratch.drop("candidates", "sets")
+        sets = scratch.write(texts.select("fp", "text").mapInArrow(rows, "fp long, tokens binary"), f"sets_{turn}")
+        found = scratch.write(similar(near, sets), f"similar_{turn}")
+    scratch.drop(f"sets_{turn}")
     return found
 
 
+def trie_groups(prints: DataFrame, scratch: Scratch) -> DataFrame:
+    """The distinct rows of (fp, size, print) with `root`, which those share whose fingerprints the trie's links join."""
+    both = scratch.write(prints.select("fp", "size", "print").distinct(), "prints")
+    distinct = both.select(F.col("print").alias("fp")).distinct()
+    return both.join(_rooted(distinct, Scratch(prints.sparkSession, "simhash-trie"), BUDGET).select(F.col("fp").alias("print"), "root"), "print")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The row with the smallest doc_id of each component of near copies (null first, then by a hash of the row); equal rows count once.
 
-    A set's first row is an aggregate, so no task sees all copies of a text.
+    Near copies are texts of five-word similarity SIMILAR that the trie or a band brings together. A set's first row is an
+    aggregate, so no task sees all copies of a text.
     """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
     tagged = docs.withColumn("_row", row_hash(docs))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, found = [], []
-            for tokens in shingle_sets(t.as_py().encode() for t in batch.column(2)):
+            texts = [t.as_py().encode() for t in batch.column(2)]
+            prints, sizes, found = [], [], []
+            for tokens in shingle_sets(iter(texts)):
                 prints.append(int(_mixed(tokens).sum(dtype=np.uint64).view(np.int64)))
+                sizes.append(len(np.unique(tokens.astype(np.uint32))))
                 found.append(bands(tokens).view(np.int64) if len(tokens) else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["_doc", "_row", "fp", "bands"])
+            columns = [pa.array(prints, pa.int64()), pa.array([fingerprint(t) for t in texts], pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["_doc", "_row", "fp", "print", "size", "bands"])
 
     texts = tagged.select(F.col("doc_id").cast("long").alias("_doc"), "_row", text_of().alias("text"))
-    prints = texts.mapInArrow(rows, "_doc long, _row long, fp long, bands array<long>")
-    distinct = scratch.write(prints.groupBy("fp").agg(F.min(F.struct("_doc", "_row")).alias("least"), F.first("bands").alias("bands")), "distinct")
-    roots = components(near_copies(tagged, distinct, scratch), scratch).withColumnRenamed("node", "fp")
+    prints = texts.mapInArrow(rows, "_doc long, _row long, fp long, print long, size long, bands array<long>")
+    # a set may stand with several fingerprints (repeated shingles), and is met by each of them
+    per_print = scratch.write(prints.groupBy("fp", "print").agg(F.min(F.struct("_doc", "_row")).alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")), "by_print")
+    distinct = scratch.write(per_print.groupBy("fp").agg(F.min("least").alias("least")), "distinct")
+    banded = per_print.groupBy("fp", "size").agg(F.first("bands").alias("bands")).select("fp", "size", F.lit(None).cast("long").alias("print"), F.posexplode("bands").alias("band", "value"))
+    of_trie = trie_groups(per_print, scratch).select("fp", "size", "print", F.lit(BANDS).alias("band"), F.col("root").alias("value"))
+    each = scratch.write(banded.unionByName(of_trie), "each")
+    roots = near_copies(tagged, distinct, each, scratch)
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = rooted.groupBy("root").agg(F.min("least").alias("x")).select("x._row")
     return tagged.join(scratch.write(first, "kept"), "_row").dropDuplicates(["_row"]).select(*docs.columns)

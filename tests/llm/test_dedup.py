@@ -102,6 +102,39 @@ def test_one_of_each_finds_near_copies_of_five_word_similarity(spark):
     assert {p for p in near if 2 * p + 1 in got} == set() and {p for p in apart if 2 * p + 1 not in got} == set()
 
 
+def test_groups_of_the_trie_are_the_components_of_its_links(spark):
+    rng = random.Random(12)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    prints = sorted({x ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(4))) for x in base * 5})
+    rows = [(i, 9, x - (1 << 64) if x >> 63 else x) for i, x in enumerate(prints)] + [(0, 9, prints[-1] - (1 << 64) if prints[-1] >> 63 else prints[-1])]
+    got = {}
+    for r in simhash.trie_groups(spark.createDataFrame(rows, "fp long, size long, print long"), Scratch(spark, "test")).collect():
+        got.setdefault(r.root, set()).add(r.print % (1 << 64))
+    want = {}
+    for x, r in roots(prints, [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 2]).items():
+        want.setdefault(r, set()).add(x)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+@pytest.mark.parametrize("size", [3, 12, 200])
+def test_one_of_each_loses_no_link_in_groups(spark, size):
+    rng = random.Random(size)
+    fresh = lambda k: [f"v{rng.randrange(10**9)}" for _ in range(k)]
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    texts = []
+    for _ in range(max(1, 120 // size)):
+        own = fresh(200)
+        for _ in range(size):
+            other = list(own)
+            for k in rng.sample(range(200), rng.randrange(3, 9)):
+                other[k] = f"x{rng.randrange(10**9)}"
+            texts.append((len(texts), " ".join(other)))
+    sets = {i: grams(t.split()) for i, t in texts}
+    near = [(a, b) for a in sets for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = set(roots(sets, near).values())
+    assert {r.doc_id for r in simhash.one_of_each(frame(spark, texts)).collect()} == want
+
+
 def test_components_of_random_graphs(spark, tmp_path):
     rng = random.Random(5)
     near = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5000, 5001 + i) for i in range(50)]
