@@ -10,8 +10,9 @@ spanning forest of its links, and the components are found from these.
 one_of_each() takes the trie's links as candidates, and more than a few bits can tell: near copies of five-word similarity
 SIMILAR differ in ten bits or so, which no trie can be searched for. For these it takes min-hashes of the shingle sets in
 BANDS bands of ROWS. All candidates are verified on their whole shingle sets. The texts of one band value, or of one trie
-component, are first paired with the smallest and the largest of them, in a few orders; then every pair of a band value or
-of the trie that no link has joined yet is verified too.
+component, are first paired with the smallest and the largest of them, in a few orders; then all similar pairs are found
+among the texts of a band value or of a trie component that no link has joined yet, by the rarest shingles of each, first
+with one text of each shingle.
 
 Cases: a null text is empty; no words give fingerprint zero, linked like any other; one or two words are one shingle; a
 null doc_id takes part but does not name a component unless it is alone; repeated rows share a component; an empty table
@@ -26,7 +27,7 @@ from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docroute.llm.common import Scratch, components, row_hash, small_batches, text_of
@@ -43,6 +44,8 @@ FRONT = 1 << 17
 _SIGN = -(1 << 63)
 #: Words of a shingle, and the similarity of shingle sets, of near copies in one_of_each.
 KEEP_WIDTH, SIMILAR = 5, 0.8
+#: By how much a bound on whole numbers may be lower for errors of floating point.
+ROUNDING = 1e-6
 #: Min-hashes: a pair of similarity 0.8 agrees in one of 16 bands of 4 with a chance of 0.9998.
 BANDS, ROWS = 16, 4
 _MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -230,23 +233,54 @@ def similar(near: DataFrame, sets: DataFrame) -> DataFrame:
     return near.select("a", "b", "of_a", "of_b").mapInArrow(rows, "a long, b long")
 
 
-def candidates(each: DataFrame, roots: DataFrame, mixed: DataFrame, turn: int | None) -> DataFrame:
+def candidates(each: DataFrame, roots: DataFrame, mixed: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of the rows (fp, band, value, size, print) of the groups `mixed` that have not one root: each row and
-    both ends of its group in the order of that turn; None: all pairs, those of a trie component within BUDGET bits."""
+    both ends of its group in the order of that turn."""
     key = ["band", "value"]
     left = _rooted_rows(each, roots).join(mixed.select(*key), key, "left_semi")
-    if turn is None:
-        near = F.coalesce(F.bit_count(F.col("x.print").bitwiseXOR(F.col("y.print"))) <= BUDGET, F.lit(True))
-        met = left.alias("x").join(left.alias("y"), key).where("x.fp > y.fp and x.root <> y.root").where(near)
-        sized = met.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), F.col("x.size").alias("m"), F.col("y.size").alias("n"))
-    else:
-        place = F.struct((F.xxhash64("fp", F.lit(turn)) if turn else F.col("fp")).alias("at"), "fp", "size", "root")
-        ends = left.groupBy(*key).agg(F.min(place).alias("low"), F.max(place).alias("high"))
-        met = left.join(ends, key).select("fp", "size", "root", F.explode(F.array("low", "high")).alias("end")).where("root <> end.root")
-        sized = met.select(F.greatest("fp", "end.fp").alias("a"), F.least("fp", "end.fp").alias("b"), F.col("size").alias("m"), F.col("end.size").alias("n"))
+    place = F.struct((F.xxhash64("fp", F.lit(turn)) if turn else F.col("fp")).alias("at"), "fp", "size", "root")
+    ends = left.groupBy(*key).agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    met = left.join(ends, key).select("fp", "size", "root", F.explode(F.array("low", "high")).alias("end")).where("root <> end.root")
+    sized = met.select(F.greatest("fp", "end.fp").alias("a"), F.least("fp", "end.fp").alias("b"), F.col("size").alias("m"), F.col("end.size").alias("n"))
     return sized.where(F.greatest("m", "n") * SIMILAR <= F.least("m", "n")).select("a", "b").distinct()
 
 
+def rare_tokens(sized: DataFrame, sets: DataFrame) -> DataFrame:
+    """(token, rank, fp, size): the rarest tokens of the sets (fp, tokens), with sizes from (fp, size).
+
+    All tokens have one order, the commonest first, and a rank in it among their set's. Sets of m and n tokens that are
+    similar have at least SIMILAR / (1 + SIMILAR) * (m + n) in common, so the rarest of these has that rank in both at least.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fp, tokens in zip(*batch.columns):
+                x = np.frombuffer(tokens.as_buffer(), np.uint32).astype(np.int64)
+                for at in range(0, len(x), 1 << 16):
+                    part = x[at : at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), fp.as_py())), pa.array(part)], ["fp", "token"])
+
+    each = sets.select("fp", "tokens").mapInArrow(rows, "fp long, token long")
+    often = each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    commonest_first = Window.partitionBy("fp").orderBy(F.desc("n"), F.desc("token"))
+    ranked = each.join(often, "token").withColumn("rank", F.row_number().over(commonest_first)).join(sized, "fp")
+    return ranked.where(F.col("rank") >= SIMILAR * F.col("size") - ROUNDING).select("token", "rank", "fp", "size")
+
+
+def rare_pairs(rare: DataFrame, roots: DataFrame, hubs: bool) -> DataFrame:
+    """Pairs (a, b) of two roots of the sets that share a row's token in (token, rank, fp, size) at a rank that similar sets
+    have; with `hubs` only those with the set of the token that has the fewest rarer ones."""
+    rare = _rooted_rows(rare, roots)
+    place = F.struct((F.col("size") - F.col("rank")).alias("rarer"), "rank", "fp", "size", "root")
+    of_token = rare.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(place).alias("hub"))
+    of_token = of_token.where("low < high").select("token", "hub.rank", "hub.fp", "hub.size", "hub.root")
+    other = of_token if hubs else rare.join(of_token, "token", "left_semi")
+    enough = SIMILAR / (1 + SIMILAR) * (F.col("x.size") + F.col("y.size")) - ROUNDING
+    met = rare.alias("x").join(other.alias("y"), "token").where("x.root <> y.root").where(F.least("x.rank", "y.rank") >= enough)
+    met = met if hubs else met.where("x.fp > y.fp")
+    return met.select(F.greatest("x.fp", "y.fp").alias("a"), F.least("x.fp", "y.fp").alias("b")).distinct()
+
+
 def _rooted_rows(each: DataFrame, roots: DataFrame) -> DataFrame:
     return each.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
@@ -255,30 +289,44 @@ def near_copies(tagged: DataFrame, distinct: DataFrame, each: DataFrame, scratch
     """(fp, root) of the sets in (fp, least) that verified links join, other than the smallest; texts are those of the rows least._row.
 
     Pairs that links have joined already change no component, and are not compared. While turns of few pairs join much of
-    what is apart, they go on; the last one takes all that is left.
+    what is apart, they go on; the last one takes all similar pairs among the texts that are left, by their rarest tokens.
     """
     spark = tagged.sparkSession
     found = seen = scratch.write(spark.createDataFrame([], "a long, b long"), "none")
     roots, left_before, fill = spark.createDataFrame([], "fp long, root long"), None, distinct.count()
+
+    def verify(near: DataFrame, sets: DataFrame | None, step: str) -> None:
+        nonlocal found, seen, roots
+        near = scratch.write(near.join(seen, ["a", "b"], "left_anti"), f"candidates_{step}")
+        if sets is None:
+            sets = whole_sets(tagged, distinct, near.select(F.col("a").alias("fp")).union(near.select("b")).distinct(), scratch, f"sets_{step}")
+        with small_batches(spark, 200):
+            found = scratch.write(found.union(similar(near, sets)), f"links_{step}")
+        roots = components(found, Scratch(spark, "simhash-roots")).withColumnRenamed("node", "fp")
+        seen = seen.union(near)
+
     for turn in count():
         sizes = _rooted_rows(each, roots).groupBy("band", "value", "root").agg(F.count("*").cast("double").alias("n")).groupBy("band", "value")
         mixed = scratch.write(sizes.agg(F.count("*").alias("roots"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("roots > 1"), f"mixed_{turn}")
         left = mixed.agg(F.sum("pairs")).first()[0]
         if not left:
             return roots
-        last = turn > 0 and (left <= fill or left > left_before / 2)
-        near = candidates(each, roots, mixed, None if last else turn).join(seen, ["a", "b"], "left_anti")
-        near = scratch.write(near, f"candidates_{turn}")
-        found = scratch.write(found.union(verified(tagged, distinct, near, scratch, turn)), f"links_{turn}")
-        roots = components(found, Scratch(spark, "simhash-roots")).withColumnRenamed("node", "fp")
-        if last:
+        if turn > 0 and (left <= fill or left > left_before / 2):
+            sized = each.join(mixed, ["band", "value"], "left_semi").select("fp", "size").distinct()
+            sets = whole_sets(tagged, distinct, sized, scratch, "sets")
+            rare = scratch.write(rare_tokens(sized, sets), "rare")
+            for hubs in (True, False):
+                verify(rare_pairs(rare, roots, hubs), sets, "hubs" if hubs else "all")
+            scratch.drop("sets")
             return roots
-        seen, left_before = seen.union(near), left
+        verify(candidates(each, roots, mixed, turn), None, str(turn))
+        scratch.drop(f"sets_{turn}")
+        left_before = left
 
 
-def verified(tagged: DataFrame, distinct: DataFrame, near: DataFrame, scratch: Scratch, turn: int) -> DataFrame:
-    """The pairs of `near` that are similar by the whole sets of their texts."""
-    needed = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct().join(distinct, "fp").select("fp", "least._row")
+def whole_sets(tagged: DataFrame, distinct: DataFrame, asked: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(fp, tokens): the different shingles of the whole texts of the sets `fp` that are asked for."""
+    needed = asked.select("fp").join(distinct, "fp").select("fp", "least._row")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,10 +336,7 @@ def verified(tagged: DataFrame, distinct: DataFrame, near: DataFrame, scratch: S
 
     texts = tagged.select("_row", text_of().alias("text")).join(needed, "_row").dropDuplicates(["_row"])
     with small_batches(tagged.sparkSession, 200):
-        sets = scratch.write(texts.select("fp", "text").mapInArrow(rows, "fp long, tokens binary"), f"sets_{turn}")
-        found = scratch.write(similar(near, sets), f"similar_{turn}")
-    scratch.drop(f"sets_{turn}")
-    return found
+        return scratch.write(texts.select("fp", "text").mapInArrow(rows, "fp long, tokens binary"), name)
 
 
 def trie_groups(prints: DataFrame, scratch: Scratch) -> DataFrame:

@@ -135,6 +135,27 @@ def test_one_of_each_loses_no_link_in_groups(spark, size):
     assert {r.doc_id for r in simhash.one_of_each(frame(spark, texts)).collect()} == want
 
 
+def test_rare_pairs_hold_all_similar_ones_and_few_others(spark):
+    rng = random.Random(16)
+    sets = {}
+    for i in range(400):
+        own = list(range(150))
+        for k in rng.sample(range(30), rng.randrange(0, 7)):
+            own[5 * k : 5 * k + 5] = [10_000 + 1000 * i + 5 * k + j for j in range(5)]
+        sets[i] = np.array(sorted(own[: 150 - rng.randrange(3)]), np.uint32)
+    like = lambda a, b: len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+    near = {(a, b) for a in sets for b in range(a) if like(sets[a], sets[b])}
+    roots_ = roots(sets, near)
+    tokens = spark.createDataFrame([(i, x.tobytes()) for i, x in sets.items()], "fp long, tokens binary")
+    rare = simhash.rare_tokens(spark.createDataFrame([(i, len(x)) for i, x in sets.items()], "fp long, size long"), tokens).cache()
+    pairs = lambda root, hubs: {(r.a, r.b) for r in simhash.rare_pairs(rare, spark.createDataFrame(list(root.items()), "fp long, root long"), hubs).collect()}
+    alone = {i: i for i in sets}
+    assert len(near) > 1000 and near <= pairs(alone, False)
+    assert len(set(roots(sets, near & pairs(alone, True)).values())) < 1.1 * len(set(roots_.values()))
+    # texts apart from all others meet next to nobody, though all share most of their tokens
+    assert len(set(roots_.values())) > 150 and len(pairs(roots_, False)) < 400
+
+
 def test_components_of_random_graphs(spark, tmp_path):
     rng = random.Random(5)
     near = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5000, 5001 + i) for i in range(50)]
