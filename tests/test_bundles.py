@@ -104,6 +104,16 @@ def test_stream_decides_complete_messages_once(spark, tmp_path, plan_rows):
     assert [r.msg_id for r in st.open_messages(spark, home, mail).collect()] == [6]
 
 
+def test_a_batch_is_joined_once_and_decided_with_adaptive_execution(spark, tmp_path, plan_rows, monkeypatch):
+    mail, parts = frame(spark, MESSAGES, MAIL), frame(spark, ROWS, PARTS)
+    calls, decide_batch = [], st.decide_batch
+    adaptive = lambda df: df.sparkSession.conf.get("spark.sql.adaptive.enabled")
+    monkeypatch.setattr(st, "decide_batch", lambda home, batch, *rest: calls.append("batch") or decide_batch(home, batch, *rest))
+    monkeypatch.setattr(st.bundles, "decide", lambda m, p, plans: calls.append((adaptive(m), adaptive(p))) or ())
+    st.run_in_ranges(mail, parts, plan_rows, str(tmp_path), ranges=1)
+    assert calls == ["batch", ("true", "true")]
+
+
 def test_logs_in_files_and_in_folders(spark, tmp_path):
     from docroute.sources import files as fs
 
