@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docroute.functions import text as t
+from docroute.operators import dimension as dim
 from docroute.operators import linking as lk
 from docroute.operators import monthly as mo
 
@@ -109,3 +110,18 @@ def test_equal_findings_are_scored_once_and_name_words_stay_apart(spark):
     assert set(scanned.columns) == {"sha256", *lk.LINKED}
     got = {r.sha256: (r.text_plan, list(r.explicit)) for r in lk.match_texts(scanned, plans, docs).collect()}
     assert got == {"a": ("LMS77A", []), "b": ("LMS77B", []), "c": ("", []), "d": ("EPS500", []), "e": ("EPS500", []), "f": ("EPS500", ["EPS500"])}
+
+
+def test_rows_of_texts_are_matched_as_the_texts_are(spark):
+    plans = dim.parse(spark.createDataFrame([(1, "BCS 12A", "Harbour Court", "Ann", "a@x", "", "", "1"), (2, "BCS 77", "Seaview Orchard", "Bob", "b@x", "", "", "1"), (3, "LMS 77", "Granville House", "Cid", "c@x", "", "", "1"), (4, "BCS 770", "Kimberly Place", "Dan", "d@x", "", "", "1")],
+        "row_no long, strata_plan string, strata_name string, strata_manager string, manager_email string, ap_name string, ap_email string, status string"))
+    texts = ["Strata Plan BCS 12A", "Strata Plan BCS 12", "EPS 77 Seaview Orchard", "BCS 77 and LMS 77", "", "none", "BCS 770 LMS 99 Strata Plan VR 5"]
+    rows = spark.createDataFrame([(i, k, x) for i, x in enumerate([*texts, None]) for k in range(2)], "msg_id long, att_idx int, content_text string").withColumn("sha256", F.sha2("content_text", 256))
+    facts = ["text_plan", "text_note", "detected", "is_base_fallback", "row_plan", "row_manager", "row_email", "explicit"]
+    want = {r.sha256: tuple(r[c] for c in facts) for r in lk.match_texts(lk.scan_texts(rows.where("sha256 is not null"), plans), plans, rows).collect()}
+    scanned = lk.scan_rows(rows, plans)
+    assert "Exchange" not in scanned._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    got = lk.match_rows(scanned, plans).collect()
+    assert sorted((r.msg_id, r.att_idx) for r in got) == sorted((r.msg_id, r.att_idx) for r in rows.collect())
+    assert all(tuple(r[c] for c in facts) == (want[r.sha256] if r.sha256 else (None,) * len(facts)) for r in got)
+    assert len({r.text_plan for r in got}) > 2
