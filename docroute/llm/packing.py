@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroute.llm.common import text_of
+from docroute.llm.common import released, text_of
 
 MAX_LEN = 1024
 #: Distinct chunks of text whose ids a Python worker keeps.
@@ -136,7 +136,7 @@ def pack(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, with_ids: bool
                     rows, size = [[] for _ in names], 0
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names)
 
-    pieces = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(cut, schema)
+    pieces = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(released(cut), schema)
     return pieces.select(
         "*",
         F.log2("length").cast("int").alias("bucket"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroute.llm.common import text_of
+from docroute.llm.common import released, text_of
 
 #: Bytes from which a repeated substring counts.
 MIN_REPEAT = 64
@@ -182,4 +182,4 @@ def keep_good(docs: DataFrame, least: int = MIN_REPEAT, most_covered: float = MO
             texts = ((t.as_py() or "").encode() for t in batch.column(at))
             yield batch.filter(pa.array([_verdict(t, least, most_covered, most_longest, long_from)[-1] for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(good, docs.schema)
+    return docs.mapInArrow(released(good), docs.schema)

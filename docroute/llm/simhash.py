@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docroute.llm.common import Scratch, components, row_hash, small_batches, text_of
+from docroute.llm.common import Scratch, components, released, row_hash, small_batches, text_of
 from docroute.llm.passages import _mixed, runs_of
 from docroute.llm.ppm import _chunks
 
@@ -230,7 +230,7 @@ def similar(near: DataFrame, sets: DataFrame) -> DataFrame:
 
     for side in "ab":
         near = near.join(sets.select(F.col("fp").alias(side), F.col("tokens").alias(f"of_{side}")), side)
-    return near.select("a", "b", "of_a", "of_b").mapInArrow(rows, "a long, b long")
+    return near.select("a", "b", "of_a", "of_b").mapInArrow(released(rows), "a long, b long")
 
 
 def candidates(each: DataFrame, roots: DataFrame, mixed: DataFrame, turn: int) -> DataFrame:
@@ -336,7 +336,7 @@ def whole_sets(tagged: DataFrame, distinct: DataFrame, asked: DataFrame, scratch
 
     texts = tagged.select("_row", text_of().alias("text")).join(needed, "_row").dropDuplicates(["_row"])
     with small_batches(tagged.sparkSession, 200):
-        return scratch.write(texts.select("fp", "text").mapInArrow(rows, "fp long, tokens binary"), name)
+        return scratch.write(texts.select("fp", "text").mapInArrow(released(rows), "fp long, tokens binary"), name)
 
 
 def trie_groups(prints: DataFrame, scratch: Scratch) -> DataFrame:
@@ -367,9 +367,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["_doc", "_row", "fp", "print", "size", "bands"])
 
     texts = tagged.select(F.col("doc_id").cast("long").alias("_doc"), "_row", text_of().alias("text"))
-    prints = texts.mapInArrow(rows, "_doc long, _row long, fp long, print long, size long, bands array<long>")
+    prints = texts.mapInArrow(released(rows), "_doc long, _row long, fp long, print long, size long, bands array<long>")
     # a set may stand with several fingerprints (repeated shingles), and is met by each of them
-    per_print = scratch.write(prints.groupBy("fp", "print").agg(F.min(F.struct("_doc", "_row")).alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")), "by_print")
+    with small_batches(docs.sparkSession, 200):
+        per_print = scratch.write(prints.groupBy("fp", "print").agg(F.min(F.struct("_doc", "_row")).alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")), "by_print")
     distinct = scratch.write(per_print.groupBy("fp").agg(F.min("least").alias("least")), "distinct")
     banded = per_print.groupBy("fp", "size").agg(F.first("bands").alias("bands")).select("fp", "size", F.lit(None).cast("long").alias("print"), F.posexplode("bands").alias("band", "value"))
     of_trie = trie_groups(per_print, scratch).select("fp", "size", "print", F.lit(BANDS).alias("band"), F.col("root").alias("value"))

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 from docroute.llm import linededup, passages, queries, simhash
-from docroute.llm.common import Scratch, components
+from docroute.llm.common import Scratch, components, released
 
 SCHEMA = "doc_id long, text string, k long, component string, n_chars int"
 
@@ -281,3 +281,17 @@ def test_passage_cases(spark):
     got = {r.doc_id: (r.component_id, r.n_repeated_words >= 64) for r in passages.find(rows).collect()}
     assert got == {4: (4, True), 5: (4, True)}
     assert passages.find(rows.limit(0)).count() == 0
+
+
+def test_a_worker_gives_back_what_it_no_longer_holds():
+    resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+    last = []
+
+    def rows(batches):
+        held = [bytes(1000) for _ in range(300_000)]
+        last.append(bytes(1000))  # what lies behind keeps the allocator from giving back by itself
+        yield len(held)
+
+    before = resident()
+    assert list(released(rows)(iter([]))) == [300_000]
+    assert resident() - before < 150 << 20
