@@ -21,14 +21,14 @@ def place() -> list[Column]:
 def numbered(lines: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Replaces the place of each row by its number, from 0, within `keys` (columns, or none for all), files in order of their paths.
 
-    Each split numbers its own lines and is moved on by the lines of the splits before it, so no file is one task's work.
+    Each split numbers its own lines, which `place` numbered one after another, and is moved on by the lines of the splits
+    before it, so no file is one task's work, and no line is shuffled or sorted.
     """
-    splits = lines.groupBy(*keys, "file", "block").agg(F.count("*").alias("_n"))
+    splits = lines.groupBy(*keys, "file", "block").agg(F.count("*").alias("_n"), F.min("nth").alias("_first"))
     before = Window.partitionBy(*keys).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = F.row_number().over(Window.partitionBy("file", "block").orderBy("nth")) - 1
-    out = lines.withColumn("_own", within).join(splits, [*keys, *(c for c in ("file", "block") if c not in keys)])
-    return out.withColumn(name, F.col("_before") + F.col("_own")).drop("_own", "_before", "block", "nth")
+    out = lines.join(splits, [*keys, *(c for c in ("file", "block") if c not in keys)])
+    return out.withColumn(name, F.col("_before") + F.col("nth") - F.col("_first")).drop("_first", "_before", "block", "nth")
 
 
 def scan_folder(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
