@@ -182,3 +182,30 @@ def test_monthly_ledger_rows_are_parsed_refused_or_sifted(spark):
     assert [(r.target_month, r.reason) for r in bad.collect()] == [("May", "malformed target_month: May")]
     with pytest.raises(Exception):
         parse_monthly(raw).select("plan_norm").collect()
+
+
+def test_lines_are_numbered_without_a_sort(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("concat('f', id) AS filename", "id AS size_bytes", "'t' AS mtime_iso", "'p' AS path_rel_to_root").repartitionByRange(7, "size_bytes").sortWithinPartitions("size_bytes")
+    fs.write_tsv(rows, str(tmp_path / "x"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = fs.read_tsv(spark, str(tmp_path / "x"), fs.LISTING)
+        assert "row_number" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.rdd.getNumPartitions() > 7
+        assert sorted((r.nth, r.filename) for r in got.collect()) == [(i, f"f{i}") for i in range(5000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_running_keeps_its_rows_compressed(spark):
+    import pathlib
+
+    from docroute.session import shared_dir
+
+    home = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in home.rglob("*") if f.is_file())
+    rows = spark.range(50_000).selectExpr("id % 3 AS k", "id", "repeat('word ', 20) AS text")
+    before = size()
+    got = running(rows, ["k"], [F.asc("id")], [Run("n", "sum", F.lit(1).cast("long"))])
+    assert size() - before < 2 << 20
+    assert got.where("n <> (id - id % 3) / 3 + 1").count() == 0
