@@ -265,6 +265,19 @@ def test_passage_whose_parts_stand_in_others(spark):
     assert got == {10 * g + i: 10 * g + 2 for g in range(30) for i in (2, 5)}
 
 
+def test_passages_met_by_seeds_that_many_others_hold(spark):
+    rng = random.Random(5)
+    fresh = lambda k: [f"v{rng.randrange(10**9)}" for _ in range(k)]
+    texts = []
+    for g in range(20):
+        own = fresh(60)
+        one = [*own[:30], "changed", *own[31:]]  # shares seeds with `own` only where the parts below, which hold no passage, come first and just before
+        parts = [own[:30], own[31:], own, own[:30], own[31:], one, own[:30], own[31:]]
+        texts += [(10 * g + i, " ".join(fresh(100) + x + fresh(100))) for i, x in enumerate(parts)]
+    got = {r.doc_id: r.component_id for r in passages.find(frame(spark, texts)).collect()}
+    assert got == {10 * g + i: 10 * g + 2 for g in range(20) for i in (2, 5)}
+
+
 def test_passages_below_the_similarity_are_none(spark):
     rng = random.Random(9)
     fresh = lambda k: [f"v{rng.randrange(10**9)}" for _ in range(k)]
